@@ -1,0 +1,151 @@
+"""Heaviest chains straight from the trips, without a table of edges.
+
+The number of edges grows with the square of the trips per place and hour. What a trip
+can inherit, though, depends on its pickup place and time alone: the largest sum brought
+to that place within the idle limit before. So the loop runs over the distinct pickup
+points, and each round takes a maximum over a time window instead of joining pairs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from triploom.functions import any_null, none_null
+from triploom.operators.chains import chosen_weight
+from triploom.operators.relaxation import BROADCAST_ROWS, MAX_ROUNDS, hinted, relax
+from triploom.operators.skew import HOT_ROWS, split_hot_keys
+from triploom.operators.successors import (
+    idle_window,
+    seconds_of,
+    slot_of,
+    trip_table,
+)
+from triploom.schema import TRIP_COLUMNS, TripColumns
+from triploom.sources.checkpoints import cut_lineage
+
+POINT = ["place", "time"]
+ARRIVAL = ["to_place", "to_time"]
+
+
+def trip_chains(
+    trips: DataFrame,
+    max_idle_s: float = 300,
+    weight: str = "distance",
+    invalid_trips: str = "isolate",
+    max_rounds: int = MAX_ROUNDS,
+    hot_rows: int = HOT_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+    cols: TripColumns = TRIP_COLUMNS,
+) -> DataFrame:
+    """``(tripID, longestDistance, previousTripID)`` for every trip with a distance.
+
+    The same result as ``longest_chains`` over ``successor_edges``: one row per trip,
+    ties between predecessors go to the smallest id.
+    """
+    width = idle_window(max_idle_s)
+    known = trips.filter(F.col(cols.distance).isNotNull())
+    table = cut_lineage(
+        trip_table(known, invalid_trips, cols).select(
+            "id",
+            F.col("pu").alias("place"),
+            F.col("pickup").alias("time"),
+            F.col("do").alias("to_place"),
+            F.col("dropoff").alias("to_time"),
+            chosen_weight(weight, F.col("distance")).alias("weight"),
+        )
+    )
+    starts = table.filter(none_null(POINT))
+    loose = table.filter(any_null(POINT))
+    reach = F.col("weight") + F.col("cum")
+
+    points = cut_lineage(starts.select(*POINT).distinct())
+    legs = (
+        starts.filter(none_null(ARRIVAL))
+        .groupBy(*POINT, *ARRIVAL)
+        .agg(F.max("weight").alias("weight"))
+    )
+    legs, spread, keys = split_hot_keys(legs, POINT, "to_time", hot_rows=hot_rows)
+    legs = cut_lineage(legs)
+
+    def propose(frontier: DataFrame, small: bool) -> DataFrame:
+        sent = legs.join(hinted(spread(frontier), small), keys)
+        return _best_arrival(points, _arrivals(sent, F.max(reach)), width, small)
+
+    # trips without a pickup point inherit nothing, but still send in the first round
+    sent = table.withColumn("cum", F.lit(0.0))
+    first = _best_arrival(points, _arrivals(sent, F.max(reach)), width, small=False)
+    raised = relax(first, POINT, propose, max_rounds, broadcast_rows)
+
+    state = cut_lineage(points.join(raised, POINT, "left").na.fill(0.0, ["cum"]))
+    starts, spread, keys = split_hot_keys(starts, POINT, "id", hot_rows=hot_rows)
+    columns = ["id", *ARRIVAL, "weight", "cum"]
+    settled = cut_lineage(starts.join(spread(state), keys).select(*keys, *columns))
+    loose = loose.withColumn("cum", F.lit(0.0)).select(*columns)
+
+    # every sum is final now, so the best arrival at a point is what it holds
+    brought = F.max(F.struct(reach.alias("sum"), (-F.col("id")).alias("minus_id")))
+    senders = settled.select(*columns).unionAll(loose)
+    fathers = _best_arrival(points, _arrivals(senders, brought), width, small=False)
+    fathers = fathers.select(*POINT, (-F.col("cum.minus_id")).alias("father"))
+    own = [F.col("id").alias("tripID"), reach.alias("longestDistance")]
+    linked = settled.join(spread(fathers), keys, "left").select(
+        *own, F.coalesce("father", "id").alias("previousTripID")
+    )
+    return linked.unionAll(loose.select(*own, F.col("id").alias("previousTripID")))
+
+
+def _arrivals(senders: DataFrame, value: Column) -> DataFrame:
+    """Largest value brought to each drop-off place and time: ``(place, time, value)``."""
+    return (
+        senders.filter(none_null(ARRIVAL) & (F.col("weight") + F.col("cum") > 0))
+        .groupBy(*ARRIVAL)
+        .agg(value.alias("value"))
+        .select(F.col("to_place").alias("place"), F.col("to_time").alias("time"), "value")
+    )
+
+
+def _best_arrival(
+    points: DataFrame, arrivals: DataFrame, width: int, small: bool
+) -> DataFrame:
+    """The points that an arrival can reach, and the largest value in reach as ``cum``.
+
+    Time is cut into slots as long as the idle limit. A point sees the arrivals of its
+    own slot that precede it, and those of the slot before that are recent enough. Both
+    are running maxima in order of time, and a window holds one place and slot: at most
+    one row per distinct time on either side, however many trips lie behind them.
+    """
+    cell = ["place", "slot"]
+    own_slot = slot_of("time", width)
+    slots = F.inline(
+        F.array(
+            F.struct(own_slot.alias("slot"), F.lit(True).alias("same")),
+            F.struct((own_slot + width).alias("slot"), F.lit(False).alias("same")),
+        )
+    )
+    cells = arrivals.select("place", "time", "value", slots)
+    # the filter keeps `value`, so that both uses of the arrivals share one exchange
+    touched = hinted(cells.filter("value is not null").select(*cell), small)
+    near = points.withColumn("slot", own_slot).join(touched, cell, "left_semi")
+
+    second = seconds_of("time")
+    value_type = arrivals.schema["value"].dataType
+    rows = near.select(
+        *cell,
+        "time",
+        (F.lit(width - 1) - second).alias("age"),
+        F.lit(None).cast("boolean").alias("same"),
+        F.lit(None).cast(value_type).alias("value"),
+    ).unionAll(cells.select(*cell, "time", -second, "same", "value"))
+    by_cell = Window.partitionBy(*cell)
+    before = by_cell.orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
+    recent = by_cell.orderBy("age").rangeBetween(Window.unboundedPreceding, 0)
+    best = F.greatest(
+        F.max(F.when(F.col("same"), F.col("value"))).over(before),
+        F.max(F.when(~F.col("same"), F.col("value"))).over(recent),
+    )
+    return (
+        rows.withColumn("cum", best)
+        .filter(F.col("same").isNull() & F.col("cum").isNotNull())
+        .select(*POINT, "cum")
+    )
