@@ -37,7 +37,7 @@ from triploom.operators.ranking import (
     with_location,
 )
 from triploom.operators.successors import successor_edges
-from triploom.operators.trip_chains import trip_chains
+from triploom.operators.timeline import trip_chains
 
 __all__ = [
     "ForestModel",

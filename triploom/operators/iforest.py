@@ -8,17 +8,22 @@ safe to hold on the driver and to broadcast.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from triploom.operators.quantile import label_above, outlier_threshold
 
+# executors get the functions below with the task and need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, "

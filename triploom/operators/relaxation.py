@@ -38,30 +38,38 @@ def relax(
     raised: list[DataFrame] = []
     total = 0
     for _ in range(max_rounds):
-        if raised:
-            known = hinted(_latest(raised, keys), total <= broadcast_rows)
-            offers = (
-                offers.join(known, list(keys), "left")
-                .filter(F.col("cum") > F.coalesce("known", F.lit(0.0)))
-                .drop("known")
-            )
-        frontier = cut_lineage(offers)
+        frontier = cut_lineage(beating(offers, raised, keys, total <= broadcast_rows))
         count = frontier.count()
         raised.append(frontier)
         if count == 0:
-            return _latest(raised, keys).withColumnRenamed("known", "cum")
+            return latest(raised, keys)
         total += count
         if len(raised) > compact_every:
-            raised = [cut_lineage(_latest(raised, keys).withColumnRenamed("known", "cum"))]
+            raised = [cut_lineage(latest(raised, keys))]
             total = raised[0].count()
         offers = propose(frontier, count <= broadcast_rows)
     raise RuntimeError(f"chains still grow after {max_rounds} rounds; is there a cycle?")
 
 
-def hinted(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def beating(
+    offers: DataFrame, raised: Sequence[DataFrame], keys: Sequence[str], small: bool
+) -> DataFrame:
+    """The offers above everything raised so far."""
+    if not raised:
+        return offers
+    known = latest(raised, keys).withColumnRenamed("cum", "known")
+    return (
+        offers.join(hinted(known, small), list(keys), "left")
+        .filter(F.col("cum") > F.coalesce("known", F.lit(0.0)))
+        .drop("known")
+    )
 
 
-def _latest(raised: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+def latest(raised: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """The largest ``cum`` of every key over all rounds."""
     rows = reduce(DataFrame.unionAll, [r.select(*keys, "cum") for r in raised])
-    return rows.groupBy(*keys).agg(F.max("cum").alias("known"))
+    return rows.groupBy(*keys).agg(F.max("cum").alias("cum"))
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df

@@ -16,7 +16,7 @@ Spread = Callable[[DataFrame], DataFrame]
 def split_hot_keys(
     rows: DataFrame,
     keys: Sequence[str],
-    row_id: str,
+    row_id: str | Sequence[str],
     salt: str = "salt",
     hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, Spread, list[str]]:
@@ -24,11 +24,12 @@ def split_hot_keys(
 
     Returns the rows, a function that prepares the other side of the join, and the keys
     to join on. Without hot keys all three are as given. Otherwise the rows of a hot key
-    get one of its salts by hashed ``row_id``, and the other side is copied once per
-    salt of its key. Counting combines inside the input partitions first, so it is not
-    itself subject to the skew.
+    get one of its salts 1, 2, ... by hashed ``row_id``, all others get salt 0, and the
+    other side is copied once per salt of its key. Counting combines inside the input
+    partitions first, so it is not itself subject to the skew.
     """
     keys = list(keys)
+    row_id = [row_id] if isinstance(row_id, str) else list(row_id)
     hot = (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"))
@@ -42,13 +43,15 @@ def split_hot_keys(
         return rows, lambda other: other, keys
     if found <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    parts = F.coalesce(F.col("parts"), F.lit(1))
+    parts = F.col("parts")
+    unsplit = F.array(F.lit(0))
 
     def spread(other: DataFrame) -> DataFrame:
-        salts = F.explode(F.sequence(F.lit(0), parts - 1))
-        return other.join(hot, keys, "left").withColumn(salt, salts).drop("parts")
+        salts = F.when(parts.isNull(), unsplit).otherwise(F.sequence(F.lit(1), parts))
+        return other.join(hot, keys, "left").withColumn(salt, F.explode(salts)).drop("parts")
 
-    salted = rows.join(hot, keys, "left").withColumn(
-        salt, F.pmod(F.xxhash64(row_id), parts).cast("int")
+    own_salt = F.when(parts.isNull(), 0).otherwise(
+        F.pmod(F.xxhash64(*row_id), parts).cast("int") + 1
     )
+    salted = rows.join(hot, keys, "left").withColumn(salt, own_salt)
     return salted.drop("parts"), spread, [*keys, salt]
