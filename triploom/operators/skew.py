@@ -35,11 +35,9 @@ def split_hot_keys(
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") > hot_rows)
         .select(*keys, F.ceil(F.col("rows") / hot_rows).cast("int").alias("parts"))
-        .persist()
     )
     found = hot.limit(BROADCAST_KEYS + 1).count()
     if found == 0:
-        hot.unpersist()
         return rows, lambda other: other, keys
     if found <= BROADCAST_KEYS:
         hot = F.broadcast(hot)

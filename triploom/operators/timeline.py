@@ -153,7 +153,6 @@ def _blocked_sums(
     legs, spread, keys = split_hot_keys(
         legs, POINT, "to_time", "point_salt", hot_rows=hot_rows
     )
-    legs = cut_lineage(legs)
     points = cut_lineage(legs.select(*POINT, "slab").distinct())
     settle = block_settler(width, first, length)
     place_type = legs.schema["place"].dataType.simpleString()
