@@ -174,10 +174,10 @@ def brute_chains(rows, edges, weight):
 
 
 @pytest.mark.parametrize(
-    ("seed", "max_idle", "sub_second"), [(1, 30, True), (2, 7.5, True), (3, 20, False)]
+    ("seed", "max_idle", "sub_second"), [(1, 30, True), (3, 7.5, False)]
 )
 def test_against_brute_force(spark, seed, max_idle, sub_second):
-    rows = random_trips(seed, 160, 4, 400, sub_second)
+    rows = random_trips(seed, 110, 4, 160, sub_second)
     df = spark.createDataFrame(rows, TIMED)
     edges = brute_edges(rows, max_idle)
     assert edge_set(successor_edges(df, max_idle)) == edges
@@ -189,7 +189,6 @@ def test_against_brute_force(spark, seed, max_idle, sub_second):
     assert as_dict(graph) == expected
     for options in (
         {"strategy": "frontier"},
-        {"strategy": "blocked"},
         {"strategy": "blocked", "block_rows": 40},
         {"strategy": "blocked", "block_rows": 3, "hot_rows": 1, "broadcast_rows": 0},
     ):
@@ -197,7 +196,7 @@ def test_against_brute_force(spark, seed, max_idle, sub_second):
 
 
 def test_counts_against_brute_force(spark):
-    rows = random_trips(5, 150, 3, 300, sub_second=False)
+    rows = random_trips(5, 100, 3, 130, sub_second=False)
     df = spark.createDataFrame(rows, TIMED)
     expected = brute_chains(rows, brute_edges(rows, 25), "count")
     assert as_dict(trip_chains(df, 25, "count", block_rows=25)) == expected
@@ -244,6 +243,14 @@ def test_self_following_trip_raises_when_kept(spark):
         trip_chains(df, invalid_trips="keep", max_rounds=6)
 
 
+def test_places_may_be_text(spark):
+    rows = [(r[0], *r[1:3], None if r[3] is None else f"p{r[3]}", None if r[4] is None else f"p{r[4]}", r[5])
+            for r in random_trips(8, 80, 3, 200)]
+    df = spark.createDataFrame(rows, TIMED.replace("ID int", "ID string"))
+    expected = brute_chains(rows, brute_edges(rows, 30), "distance")
+    assert as_dict(trip_chains(df, 30, block_rows=20)) == expected
+
+
 def test_integer_times(spark):
     """The small file with plain numbers for times: pairs linked by place and time."""
     rows = [(1, 2, 10, 100, 110), (2, 3, 16, 111, 120), (2, 3, 20, 90, 115),

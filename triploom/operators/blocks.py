@@ -13,7 +13,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triploom.operators.skew import split_hot_keys
@@ -37,16 +37,18 @@ def cut_into_blocks(legs: DataFrame, block_rows: int) -> tuple[DataFrame, int, i
     share = block_rows / (2.0 * max(rows, 1))
     length = max(int((high - low + MICROS) * min(share, 1.0)), MICROS)
     first = int(low)
-    since = F.col("time") - F.lit(first)
-    legs = legs.withColumn("since", since).withColumn(
-        "slab", F.expr(f"(since - pmod(since, {length})) div {length}")
-    )
-    legs, _, keys = split_hot_keys(legs.drop("since"), ["slab"], LEG, hot_rows=block_rows)
+    legs = legs.withColumn("slab", slab_of("time", first, length))
+    legs, _, keys = split_hot_keys(legs, ["slab"], LEG, hot_rows=block_rows)
     if "salt" not in keys:
         legs = legs.withColumn("salt", F.lit(0))
     return legs, first, length
 
 
+def slab_of(time: str, first: int, length: int) -> Column:
+    since = f"({time} - {first})"
+    return F.expr(f"({since} - pmod({since}, {length})) div {length}")
+
+
 def block_settler(
     width: int, first: int, length: int
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:

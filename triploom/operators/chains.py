@@ -83,17 +83,14 @@ def longest_chains(
     links = cut_lineage(links.join(spread(graph), keys))
     reach = F.col("weight") + F.col("cum")
 
-    def best_offers(sent: DataFrame) -> DataFrame:
-        return (
-            sent.filter(reach > 0)
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.max(reach).alias("cum"))
-        )
+    def offers(sent: DataFrame) -> DataFrame:
+        return sent.filter(reach > 0).select(F.col("dst").alias("id"), reach.alias("cum"))
 
     def propose(frontier: DataFrame, small: bool) -> DataFrame:
-        return best_offers(links.join(hinted(spread(frontier), small), keys))
+        return offers(links.join(hinted(spread(frontier), small), keys))
 
-    first = best_offers(links.withColumn("cum", F.lit(0.0)))
+    first = offers(links.withColumn("cum", F.lit(0.0)))
+    first = first.groupBy("id").agg(F.max("cum").alias("cum"))
     raised = relax(first, ["id"], propose, max_rounds, broadcast_rows)
     # every sum is final now, so the best offer to a vertex is what it holds
     state = cut_lineage(

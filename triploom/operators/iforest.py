@@ -83,8 +83,11 @@ def _draw_samples(
         .withColumn("draw", _unit_hash(F.lit(seed), F.col("tree"), F.col("id")))
         .filter(F.col("draw") < share)
     )
+    # a set number of partitions, since the optimizer would join such small ones into one
+    # and so grow all trees in one task
+    parts = min(num_trees, df.sparkSession.sparkContext.defaultParallelism)
     order = Window.partitionBy("tree").orderBy("draw", "id")
-    return drawn.withColumn("rank", F.row_number().over(order)).filter(
+    return drawn.repartition(parts, "tree").withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= max_samples
     )
 
@@ -133,13 +136,10 @@ def fit_isolation_forest(
         .sort_values(["tree", "node"], ignore_index=True)
     )
     model = ForestModel(nodes, sample_size, contamination, None, features_col)
-    scores = model.score(df.select(features_col)).select(model.score_col).persist()
-    try:
-        model.threshold = outlier_threshold(
-            scores, model.score_col, contamination, exact_threshold
-        )
-    finally:
-        scores.unpersist()
+    scores = model.score(df.select(features_col))
+    model.threshold = outlier_threshold(
+        scores, model.score_col, contamination, exact_threshold
+    )
     return model
 
 
@@ -207,12 +207,13 @@ class ForestModel:
         start = nodes["tree"].map(first).to_numpy()
         leaf = nodes["feature"].to_numpy() < 0
         here = np.arange(len(nodes))
+        children = start[:, None] + nodes[["left", "right"]].to_numpy()
         return {
             "roots": first.to_numpy(),
             "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
-            "split": np.where(leaf, np.inf, nodes["split"].to_numpy()),
-            "left": np.where(leaf, here, start + nodes["left"].to_numpy()),
-            "right": np.where(leaf, here, start + nodes["right"].to_numpy()),
+            "split": nodes["split"].to_numpy(),
+            # a leaf is its own child
+            "children": np.where(leaf[:, None], here[:, None], children).ravel(),
             "path": nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy()),
             "depth": np.array(int(nodes["depth"].max())),
             "norm": np.array(float(average_path(self.sample_size))),
@@ -229,12 +230,14 @@ class ForestModel:
 
 def _walk(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     """Scores of a block of points: all points and trees move down level by level."""
-    rows = np.arange(len(x))[:, None]
+    values, width = np.ascontiguousarray(x).ravel(), x.shape[1]
+    row_start = (np.arange(len(x)) * width)[:, None]
     at = np.repeat(forest["roots"][None, :], len(x), axis=0)
     for _ in range(int(forest["depth"])):
-        goes_left = x[rows, forest["feature"][at]] < forest["split"][at]
-        at = np.where(goes_left, forest["left"][at], forest["right"][at])
-    mean_path = forest["path"][at].mean(axis=1)
+        value = values.take(row_start + forest["feature"].take(at))
+        goes_right = value >= forest["split"].take(at)
+        at = forest["children"].take(2 * at + goes_right)
+    mean_path = forest["path"].take(at).mean(axis=1)
     norm = float(forest["norm"])
     return np.power(2.0, -mean_path / norm) if norm > 0 else np.full(len(x), 0.5)
 
@@ -254,7 +257,7 @@ def _score_forest(forest):
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             x = np.column_stack([c.to_numpy() for c in columns])
-            parts = [_walk(forest.value, x[i : i + 2048]) for i in range(0, len(x), 2048)]
+            parts = [_walk(forest.value, x[i : i + 512]) for i in range(0, len(x), 512)]
             yield pd.Series(np.concatenate(parts) if parts else [])
 
     return score

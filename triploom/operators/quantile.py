@@ -15,29 +15,34 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> fl
 
     Each pass counts the rows of ``bins`` equal value ranges and keeps the range with
     the wanted rank, until that range holds a single distinct value. The driver sees at
-    most ``bins`` counts per pass, and neither sorts nor value lists are needed.
-    ``df`` is read a few times, so persist it when it is costly.
+    most ``bins`` counts per pass, and neither sorts nor value lists are needed. Only the
+    values are kept between passes, so ``df`` itself is computed once.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x is not null")
-    row = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-    count, low, high = row
+    values = df.select(F.col(column).cast("double").alias("x"))
+    values = values.filter("x is not null and not isnan(x)").persist()
+    try:
+        return _find_rank(values, q, bins)
+    finally:
+        values.unpersist()
+
+
+def _find_rank(values: DataFrame, q: float, bins: int) -> float | None:
+    count, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if count == 0:
         return None
+    if math.isinf(low) or math.isinf(high):
+        raise ValueError("infinite values have no place in equal value ranges")
     rank = min(max(math.ceil(q * count), 1), count)
     while low < high:
-        width = high - low
-        bin_of = F.least(
-            F.lit(bins - 1),
-            F.floor((F.col("x") - F.lit(low)) / F.lit(width) * F.lit(bins)).cast("int"),
-        )
+        share = (F.col("x") - F.lit(low)) / F.lit(high - low)
+        bin_of = F.least(F.lit(bins - 1), F.floor(share * bins).cast("int"))
         ranges = (
             values.filter(F.col("x").between(low, high))
             .groupBy(bin_of.alias("bin"))
             .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .orderBy("bin")
             .collect()  # at most `bins` rows
         )
-        for part in ranges:
+        for part in sorted(ranges, key=lambda r: r["bin"]):
             if rank <= part["n"]:
                 low, high = part["low"], part["high"]
                 break

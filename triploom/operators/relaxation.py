@@ -27,7 +27,7 @@ def relax(
 ) -> DataFrame:
     """Largest ``cum`` per key that can be reached from the first ``offers``.
 
-    ``offers`` holds at most one positive ``cum`` per key; a key without a row stands at
+    ``offers`` holds positive values of ``cum`` per key; a key without a row stands at
     zero. Each round stores the offers that beat what is known, and
     ``propose(frontier, small)`` turns those into the next ones, until none is left.
 
@@ -38,7 +38,7 @@ def relax(
     raised: list[DataFrame] = []
     total = 0
     for _ in range(max_rounds):
-        frontier = cut_lineage(beating(offers, raised, keys, total <= broadcast_rows))
+        frontier = rise(offers, raised, keys, total, broadcast_rows)
         count = frontier.count()
         raised.append(frontier)
         if count == 0:
@@ -46,23 +46,43 @@ def relax(
         total += count
         if len(raised) > compact_every:
             raised = [cut_lineage(latest(raised, keys))]
-            total = raised[0].count()
         offers = propose(frontier, count <= broadcast_rows)
     raise RuntimeError(f"chains still grow after {max_rounds} rounds; is there a cycle?")
 
 
-def beating(
-    offers: DataFrame, raised: Sequence[DataFrame], keys: Sequence[str], small: bool
+def rise(
+    offers: DataFrame,
+    raised: Sequence[DataFrame],
+    keys: Sequence[str],
+    total: int,
+    broadcast_rows: int,
 ) -> DataFrame:
-    """The offers above everything raised so far."""
+    """The offers above everything raised so far, stored.
+
+    Offers and earlier values are compared in one aggregation. When the earlier ones
+    are many (``total`` rows) but the offers few, only those they meet are shuffled.
+    """
     if not raised:
-        return offers
-    known = latest(raised, keys).withColumnRenamed("cum", "known")
-    return (
-        offers.join(hinted(known, small), list(keys), "left")
+        return cut_lineage(offers)
+    met = raised
+    if total > broadcast_rows:
+        offers = offers.persist()
+        if offers.count() <= broadcast_rows:
+            wanted = F.broadcast(offers.select(*keys))
+            met = [r.join(wanted, list(keys), "left_semi") for r in raised]
+    none = F.lit(None).cast("double")
+    rows = offers.select(*keys, F.col("cum").alias("offer"), none.alias("known"))
+    for earlier in met:
+        rows = rows.unionAll(earlier.select(*keys, none, "cum"))
+    better = (
+        rows.groupBy(*keys)
+        .agg(F.max("offer").alias("cum"), F.max("known").alias("known"))
         .filter(F.col("cum") > F.coalesce("known", F.lit(0.0)))
-        .drop("known")
+        .select(*keys, "cum")
     )
+    frontier = cut_lineage(better)
+    offers.unpersist()
+    return frontier
 
 
 def latest(raised: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

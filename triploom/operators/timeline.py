@@ -8,20 +8,22 @@ points, and each round takes a maximum over a time window instead of joining pai
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triploom.functions import any_null, none_null
-from triploom.operators.blocks import block_settler, cut_into_blocks
+from triploom.operators.blocks import block_settler, cut_into_blocks, slab_of
 from triploom.operators.chains import chosen_weight
 from triploom.operators.relaxation import (
     BROADCAST_ROWS,
     COMPACT_EVERY,
     MAX_ROUNDS,
-    beating,
     hinted,
     latest,
     relax,
+    rise,
 )
 from triploom.operators.skew import HOT_ROWS, split_hot_keys
 from triploom.operators.successors import (
@@ -153,7 +155,7 @@ def _blocked_sums(
     legs, spread, keys = split_hot_keys(
         legs, POINT, "to_time", "point_salt", hot_rows=hot_rows
     )
-    points = cut_lineage(legs.select(*POINT, "slab").distinct())
+    points = cut_lineage(legs.select(*POINT).distinct())
     settle = block_settler(width, first, length)
     place_type = legs.schema["place"].dataType.simpleString()
     news = f"settled boolean, place {place_type}, time long, value double"
@@ -167,33 +169,39 @@ def _blocked_sums(
         sent = told.filter("not settled").select(*POINT, "value")
         if len(raised) == 1:
             sent = sent.unionAll(unplaced)
-        total += told.count()
-        small = total <= broadcast_rows
+        count = told.count()
+        total += count
         sent = sent.groupBy(*POINT).agg(F.max("value").alias("value"))
-        offers = _best_arrival(points, sent, width, small)
-        frontier = cut_lineage(beating(offers, raised, POINT, small))
+        offers = _best_arrival(points, sent, width, count <= broadcast_rows)
+        frontier = rise(offers, raised, POINT, total, broadcast_rows)
         count = frontier.count()
         if count == 0:
             return latest(raised, POINT)
-        raised.append(frontier)
         total += count
-        small = total <= broadcast_rows
-        if len(raised) > COMPACT_EVERY:
-            raised = [cut_lineage(latest(raised, POINT))]
-        woken = hinted(frontier.join(points, POINT).select("slab").distinct(), small)
-        fresh = hinted(spread(frontier.select(*POINT, F.lit(True).alias("fresh"))), small)
-        known = hinted(spread(latest(raised, POINT)), small)
+        # blocks with a raised point run again, with all that is known of their points
+        slab = slab_of("time", first, length).alias("slab")
+        woken = frontier.select(slab).distinct()
+        small = count <= broadcast_rows
+        known = reduce(
+            DataFrame.unionAll,
+            [r.select(*POINT, "cum", F.lit(False).alias("fresh")) for r in raised],
+            frontier.select(*POINT, "cum", F.lit(True).alias("fresh")),
+        )
+        known = (
+            known.withColumn("slab", slab)
+            .join(hinted(woken, small), "slab", "left_semi")
+            .groupBy(*POINT)
+            .agg(F.max("cum").alias("cum"), F.max("fresh").alias("fresh"))
+        )
         rows = (
-            legs.join(woken, "slab", "left_semi")
-            .join(known, keys, "left")
-            .join(fresh, keys, "left")
-            .withColumns(
-                {
-                    "cum": F.coalesce("cum", F.lit(0.0)),
-                    "fresh": F.coalesce("fresh", F.lit(False)),
-                }
-            )
+            legs.join(hinted(woken, small), "slab", "left_semi")
+            .join(hinted(spread(known), total <= broadcast_rows), keys, "left")
+            .na.fill(0.0, ["cum"])
+            .na.fill(False, ["fresh"])
         )
+        raised.append(frontier)
+        if len(raised) > COMPACT_EVERY:
+            raised = [cut_lineage(latest(raised, POINT))]
     raise RuntimeError(f"chains still grow after {max_rounds} rounds; is there a cycle?")
 
 
