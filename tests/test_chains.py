@@ -189,7 +189,7 @@ def test_against_brute_force(spark, seed, max_idle, sub_second):
     assert as_dict(graph) == expected
     for options in (
         {"strategy": "frontier"},
-        {"strategy": "blocked", "block_rows": 40},
+        {"strategy": "blocked", "block_rows": 20, "wave": 2},
         {"strategy": "blocked", "block_rows": 3, "hot_rows": 1, "broadcast_rows": 0},
     ):
         assert as_dict(trip_chains(df, max_idle, **options)) == expected, options

@@ -48,6 +48,7 @@ def trip_chains(
     strategy: str = "blocked",
     max_rounds: int = MAX_ROUNDS,
     block_rows: int = BLOCK_ROWS,
+    wave: int | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     cols: TripColumns = TRIP_COLUMNS,
@@ -89,7 +90,7 @@ def trip_chains(
         sums = _frontier_sums(legs, unplaced, width, max_rounds, hot_rows, broadcast_rows)
     else:
         sums = _blocked_sums(
-            legs, unplaced, width, max_rounds, block_rows, hot_rows, broadcast_rows
+            legs, unplaced, width, max_rounds, block_rows, hot_rows, broadcast_rows, wave
         )
 
     starts, spread, keys = split_hot_keys(starts, POINT, "id", hot_rows=hot_rows)
@@ -145,12 +146,17 @@ def _blocked_sums(
     block_rows: int,
     hot_rows: int,
     broadcast_rows: int,
+    wave: int | None,
 ) -> DataFrame:
     """Largest sum brought to each pickup point, one slab of time per round.
 
     Sums only grow, so blocks may run in any order and as often as needed: a block runs
-    again when an arrival from outside raises one of its points.
+    again when an arrival from outside raises one of its points. All run in the first
+    round; later at most ``wave`` slabs do, because what a slab finds is soon out of date
+    while many before it still change.
     """
+    spark = legs.sparkSession
+    wave = wave or max(64, 2 * spark.sparkContext.defaultParallelism)
     legs, first, length = cut_into_blocks(cut_lineage(legs), block_rows)
     legs, spread, keys = split_hot_keys(
         legs, POINT, "to_time", "point_salt", hot_rows=hot_rows
@@ -160,7 +166,11 @@ def _blocked_sums(
     place_type = legs.schema["place"].dataType.simpleString()
     news = f"settled boolean, place {place_type}, time long, value double"
 
+    slab = slab_of("time", first, length).alias("slab")
+    nothing = points.select(*POINT, F.lit(0.0).alias("cum"), slab).limit(0)
+
     rows = legs.withColumns({"cum": F.lit(0.0), "fresh": F.lit(True)})
+    waiting = nothing
     raised: list[DataFrame] = []
     total = 0
     for _ in range(max_rounds):
@@ -174,27 +184,28 @@ def _blocked_sums(
         sent = sent.groupBy(*POINT).agg(F.max("value").alias("value"))
         offers = _best_arrival(points, sent, width, count <= broadcast_rows)
         frontier = rise(offers, raised, POINT, total, broadcast_rows)
-        count = frontier.count()
-        if count == 0:
+        total += frontier.count()
+
+        # blocks with a raised point run again, the earliest slabs first
+        queue = waiting.unionAll(frontier.withColumn("slab", slab))
+        slabs = queue.select("slab").distinct().orderBy("slab").limit(wave + 1).collect()
+        if not slabs:
             return latest(raised, POINT)
-        total += count
-        # blocks with a raised point run again, with all that is known of their points
-        slab = slab_of("time", first, length).alias("slab")
-        woken = frontier.select(slab).distinct()
-        small = count <= broadcast_rows
+        woken = F.broadcast(spark.createDataFrame(slabs[:wave], "slab long"))
+        later = queue.filter(F.col("slab") > slabs[:wave][-1]["slab"])
+        waiting = cut_lineage(later) if len(slabs) > wave else nothing
         known = reduce(
             DataFrame.unionAll,
-            [r.select(*POINT, "cum", F.lit(False).alias("fresh")) for r in raised],
-            frontier.select(*POINT, "cum", F.lit(True).alias("fresh")),
+            [r.select(*POINT, "cum", slab, F.lit(False).alias("fresh")) for r in raised],
+            queue.select(*POINT, "cum", "slab", F.lit(True).alias("fresh")),
         )
         known = (
-            known.withColumn("slab", slab)
-            .join(hinted(woken, small), "slab", "left_semi")
+            known.join(woken, "slab", "left_semi")
             .groupBy(*POINT)
             .agg(F.max("cum").alias("cum"), F.max("fresh").alias("fresh"))
         )
         rows = (
-            legs.join(hinted(woken, small), "slab", "left_semi")
+            legs.join(woken, "slab", "left_semi")
             .join(hinted(spread(known), total <= broadcast_rows), keys, "left")
             .na.fill(0.0, ["cum"])
             .na.fill(False, ["fresh"])
