@@ -22,6 +22,7 @@ from triploom.operators.skew import split_hot_keys
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MICROS = 1_000_000
+STRETCH = 1_000
 LEG = ["place", "time", "to_place", "to_time"]
 
 
@@ -75,31 +76,13 @@ def block_settler(
         sample = order[starts]
         known = block["cum"].to_numpy()[sample]
 
-        # for each point, the range of arrivals in reach, in order of place and time
-        arriving = np.lexsort((to_time, to_place))
-        times = np.unique(to_time)
-        keys = to_place * (len(times) + 1) + np.searchsorted(times, to_time)
-        sorted_keys = keys[arriving]
-
-        def arrivals_before(moment: np.ndarray) -> np.ndarray:
-            key = place[sample] * (len(times) + 1) + np.searchsorted(times, moment)
-            return np.searchsorted(sorted_keys, key)
-
-        earliest = (time[sample] // MICROS - (width - 1)) * MICROS
-        low, high = arrivals_before(earliest), arrivals_before(time[sample])
-
-        cum = known
-        for _ in range(len(sample) + 1):
-            value = weight + cum[at]
-            raised = np.maximum(cum, _range_max(value[arriving], low, high))
-            if np.array_equal(raised, cum):
-                break
-            cum = raised
-        else:
-            raise RuntimeError("chains in a block never end; is there a cycle?")
+        cum = _relaxed(
+            known, at, place[sample], time[sample], to_place, to_time, weight, width
+        )
 
         whole = block["salt"].iloc[0] == 0  # no other block has points of this slab
         rose = cum > known
+        value = weight + cum[at]
         sends = (rose[at] | block["fresh"].to_numpy()) & (value > 0)
         if whole:
             slab_start = first + int(block["slab"].iloc[0]) * length
@@ -129,6 +112,65 @@ def block_settler(
     return settle
 
 
+def _relaxed(
+    known: np.ndarray,
+    at: np.ndarray,
+    place: np.ndarray,
+    time: np.ndarray,
+    to_place: np.ndarray,
+    to_time: np.ndarray,
+    weight: np.ndarray,
+    width: int,
+) -> np.ndarray:
+    """Largest sum at each point, given what is known and the legs between the points.
+
+    ``place`` and ``time`` are the points', the others the legs'; ``at`` is the point a
+    leg starts from. The points are taken in short stretches of time, each repeated until
+    it stands still: a chain of many hops then costs many passes over a stretch, not over
+    the block.
+    """
+    # arrivals by place and time; a point sees those between its two bounds
+    arriving = np.lexsort((to_time, to_place))
+    times = np.unique(to_time)
+
+    def key(where: np.ndarray, when: np.ndarray) -> np.ndarray:
+        return where * (len(times) + 1) + np.searchsorted(times, when)
+
+    arrival_key = key(to_place, to_time)[arriving]
+    earliest = (time // MICROS - (width - 1)) * MICROS
+    low_key, high_key = key(place, earliest), key(place, time)
+
+    by_time = np.argsort(time, kind="stable")
+    arrivals_by_time = np.argsort(to_time[arriving], kind="stable")
+    arrival_times = to_time[arriving][arrivals_by_time]
+
+    cum = known.copy()
+    for _ in range(len(time) + 1):
+        moved = False
+        for start in range(0, len(time), STRETCH):
+            points = by_time[start : start + STRETCH]
+            window = np.searchsorted(
+                arrival_times, [earliest[points[0]], time[points[-1]]]
+            )
+            seen = np.sort(arrivals_by_time[window[0] : window[1]])
+            low = np.searchsorted(arrival_key[seen], low_key[points])
+            high = np.searchsorted(arrival_key[seen], high_key[points])
+            legs = arriving[seen]
+            for _ in range(len(points) + 1):
+                values = weight[legs] + cum[at[legs]]
+                best = np.maximum(cum[points], _range_max(values, low, high))
+                if np.array_equal(best, cum[points]):
+                    break
+                cum[points] = best
+                moved = True
+            else:
+                raise RuntimeError("chains in a block never end; is there a cycle?")
+        # only a trip that ends before it starts can reach back to an earlier stretch
+        if not moved or (to_time >= time[at]).all():
+            return cum
+    raise RuntimeError("chains in a block never end; is there a cycle?")
+
+
 def _range_max(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Maximum of ``values[low:high]`` for each range; 0 for an empty one."""
     size = high - low

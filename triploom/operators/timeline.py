@@ -37,7 +37,7 @@ from triploom.sources.checkpoints import cut_lineage
 
 POINT = ["place", "time"]
 ARRIVAL = ["to_place", "to_time"]
-BLOCK_ROWS = 250_000
+BLOCK_ROWS = 500_000
 
 
 def trip_chains(
