@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +37,14 @@ from triploom.operators import (
     with_location,
 )
 from triploom.operators.pairs import STRUCT_KEY
-from triploom.schema import SUMMARY_COLUMNS
 from triploom.plans.views import (
     EVENT_MAX_IDLE_S,
     event_trips,
     order_locations,
     order_trips,
 )
+from triploom.schema import SUMMARY_COLUMNS
+from triploom.sources import cut_lineage
 
 PAIR = ["PULocationID", "DOLocationID"]
 ENRICHED = [*PAIR, "passenger_count", "trip_distance", "total_amount", "trip_duration"]
@@ -127,8 +129,6 @@ def enriched_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feature(position: int) -> Column:
-    from pyspark.ml.functions import vector_to_array
-
     return vector_to_array("features")[position]
 
 
@@ -235,7 +235,8 @@ def direct_chains(weight: str) -> Query:
 
 
 def chain_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chain_text(chain_paths(direct_chains("distance")(spark, sf_dir), k=3))
+    chains = cut_lineage(direct_chains("distance")(spark, sf_dir))
+    return chain_text(chain_paths(chains, k=3))
 
 
 QUERIES: dict[str, Query] = {
