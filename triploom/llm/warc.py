@@ -39,11 +39,15 @@ def digest_of(payload: bytes) -> str:
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from at most ``SAMPLE_ROWS`` payloads, cut to ``SAMPLE_BYTES``.
 
-    It only makes the frames smaller. Too little to train on gives plain sample text.
+    It only makes the frames smaller. The hashes of the payloads settle which are taken, so
+    tasks send the driver hashes and only the chosen payloads. Equal payloads count once.
+    Too little to train on gives plain sample text.
     """
-    rows = pages.select(F.substring("html", 1, SAMPLE_BYTES).alias("html")).filter("length(html) > 0")
-    picked = rows.orderBy(F.xxhash64("html")).limit(SAMPLE_ROWS).collect()
-    samples = [r["html"].encode()[:SAMPLE_BYTES] for r in picked]
+    rows = pages.filter("length(html) > 0").select(F.xxhash64("html").alias("hash"), "html")
+    hashes = rows.select("hash").distinct().orderBy("hash").limit(SAMPLE_ROWS)
+    chosen = rows.join(F.broadcast(hashes), "hash").select("hash", F.substring("html", 1, SAMPLE_BYTES).alias("html"))
+    picked = chosen.dropDuplicates(["hash"]).collect()
+    samples = sorted(r["html"].encode()[:SAMPLE_BYTES] for r in picked)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=3).as_bytes()
     except zstandard.ZstdError:
