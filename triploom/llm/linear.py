@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = 1 << 16
-STEPS = 60
-RATE = 0.5
+STEPS = 120
+RATE = 1.0
+TELLING = 4.0
 DECAY = 1e-6
 UPPER = bytes(range(65, 91))
 SYMBOLS = b"&%#$*|"
@@ -53,15 +54,17 @@ def features(text: bytes, form: bool = True) -> np.ndarray:
 
 
 class Linear:
-    """Softmax over sums of slot weights, each text scaled to length one."""
+    """Softmax over sums of slot weights, the kept slots of a text scaled to length one."""
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray, form: bool) -> None:
         self.weights, self.bias, self.form = weights, bias, form
+        self.kept = np.ones(len(weights), bool)
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         out = np.empty((len(texts), len(self.bias)))
         for i, text in enumerate(texts):
             at = features(text or b"", self.form)
+            at = at[self.kept[at]]
             out[i] = self.bias + self.weights[at].sum(axis=0, dtype=np.float64) / np.sqrt(max(1, len(at)))
         return out
 
@@ -74,29 +77,47 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return grown / grown.sum(axis=1, keepdims=True)
 
 
+def telling(at: np.ndarray, owner: np.ndarray, targets: np.ndarray, least: float = TELLING) -> np.ndarray:
+    """The slots that some class has more or less often than chance would, by ``least`` deviations.
+
+    Most slots belong to words too rare to tell anything; fitting them only learns the
+    sample by heart.
+    """
+    share = np.bincount(at, minlength=SLOTS) / len(targets)
+    most = np.zeros(SLOTS)
+    for c in range(targets.shape[1]):
+        weight = targets[:, c].sum()
+        inside = np.bincount(at, targets[owner, c], SLOTS)
+        most = np.maximum(most, np.abs(inside - weight * share) / np.sqrt(weight * share * (1 - share) + 1))
+    return most > least
+
+
 def fit(rows: list[np.ndarray], targets: np.ndarray, form: bool, steps: int = STEPS) -> Linear:
-    """Fit to soft ``targets`` (rows x classes) by Adagrad on the whole sample."""
+    """Fit to soft ``targets`` (rows x classes) by Adagrad on the telling slots of the sample."""
     classes = targets.shape[1]
     weights, bias = np.zeros((SLOTS, classes), np.float32), np.zeros(classes)
     if not len(rows):
         return Linear(weights, bias, form)
-    sizes = np.array([max(1, len(r)) for r in rows])
-    at = np.concatenate([r if len(r) else np.zeros(1, np.int32) for r in rows])
+    kept = telling(np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), targets)
+    rows = [r[kept[r]] for r in rows]
+    sizes = np.array([len(r) for r in rows])
+    at = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows)), sizes)
-    scale = 1 / np.sqrt(sizes)
-    starts = np.cumsum(np.r_[0, sizes])[:-1]
+    scale = 1 / np.sqrt(np.maximum(1, sizes))
     seen, seen_bias = np.full((SLOTS, classes), 1e-8), np.full(classes, 1e-8)
     bias[:] = np.log(np.clip(targets.mean(axis=0), 1e-3, 1))
     for _ in range(steps):
-        sums = np.add.reduceat(weights[at], starts, axis=0) * scale[:, None]
-        error = (softmax(sums + bias) - targets) / len(rows)
+        sums = np.stack([np.bincount(owner, weights[at, c], len(rows)) for c in range(classes)], axis=1)
+        error = (softmax(sums * scale[:, None] + bias) - targets) / len(rows)
         spread = error * scale[:, None]
         gradient = np.stack([np.bincount(at, spread[owner, c], SLOTS) for c in range(classes)], axis=1) + DECAY * weights
         seen += gradient**2
         weights -= (RATE * gradient / np.sqrt(seen)).astype(np.float32)
         seen_bias += error.sum(axis=0) ** 2
         bias -= 0.1 * RATE * error.sum(axis=0) / np.sqrt(seen_bias)
-    return Linear(weights, bias, form)
+    model = Linear(weights, bias, form)
+    model.kept = kept
+    return model
 
 
 def _featuriser(form: bool):

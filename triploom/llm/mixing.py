@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +24,14 @@ STEPS = 60
 CLOSE = 1e-6
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, list[str]]:
-    """A classifier of the values of ``domain``, an expression over ``labels``.
+def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, list[str]]:
+    """A classifier of the values of ``domain``, an SQL expression over ``labels``.
 
     It is fitted to ``sample_rows`` labelled documents at most, those with the smallest
     hash of their doc_id. Rows without doc_id or domain are not used; of several labels of
     a document the smallest is. Without labels all documents are in one domain, ``all``.
     """
-    known = labels.select("doc_id", domain.cast("string").alias("domain")).dropna().groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    known = labels.select("doc_id", F.expr(domain).cast("string").alias("domain")).dropna().groupBy("doc_id").agg(F.min("domain").alias("domain"))
     sample = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows), "labelled")
     rows = sample_features(docs, sample, form=True)
     found = np.array(rows.column("domain").to_pylist(), dtype=object)
@@ -73,45 +73,47 @@ def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1)
 
 
-def _totals(steps: list[np.ndarray], second: bool):
-    """Sums of rate x tokens x posterior, and with ``second`` of tokens x posterior x posterior."""
+def _totals(steps: list[np.ndarray]):
+    """Sums of rate x tokens x posterior; then of tokens x posterior x posterior where the rate isn't 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
         for batch in batches:
             if batch.num_rows:
                 p, tokens = _posteriors(batch), batch.column("tokens").to_numpy()
-                total = total + ((p * tokens[:, None]).T @ p if second else (rates_of(p, steps) * tokens) @ p)
+                rates = rates_of(p, steps)
+                free = p[rates > 0]
+                total = total + np.r_[(rates * tokens) @ p, ((free * tokens[rates > 0][:, None]).T @ free).ravel()]
         flat = np.ravel(total) if np.ndim(total) else np.zeros(0)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(len(flat))), "total": pa.array(flat)})
 
     return run
 
 
-def _summed(members: DataFrame, steps: list[np.ndarray], cells: int, second: bool = False) -> np.ndarray:
-    out = np.zeros(cells)
-    for row in members.mapInArrow(_totals(steps, second), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
+def _summed(members: DataFrame, steps: list[np.ndarray], domains: int) -> tuple[np.ndarray, np.ndarray]:
+    out = np.zeros(domains + domains**2)
+    for row in members.mapInArrow(_totals(steps), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
         out[row["cell"]] = row["total"]
-    return out
+    return out[:domains], out[domains:].reshape(domains, domains)
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, most: int = STEPS) -> list[np.ndarray]:
     """The gradient steps that lead to rates whose expected totals meet ``targets``.
 
-    The squared error is measured in the metric of the second moments of the posteriors, so
-    a step settles all totals at once unless rates meet zero. Each step is one pass over
-    ``tokens`` and ``posteriors`` that sums one number per domain; the steps are all that
-    the tasks need to know to work out any document's rate.
+    The squared error is measured in the metric of the second moments of the posteriors of
+    documents with a rate above zero, so a step settles all totals at once unless rates meet
+    zero. Each step is one pass over ``tokens`` and ``posteriors`` that sums a number per
+    domain and pair of domains; the steps are all that the tasks need to know to work out
+    any document's rate. Stops when all totals are within ``CLOSE`` of the targets.
     """
-    domains = len(targets)
-    moments = _summed(members, [], domains * domains, second=True).reshape(domains, domains)
-    inverse = np.linalg.pinv(moments + 1e-9 * np.trace(moments) / domains * np.eye(domains))
     steps: list[np.ndarray] = []
     for _ in range(most):
-        error = _summed(members, steps, domains) - targets
+        totals, moments = _summed(members, steps, len(targets))
+        error = totals - targets
         if np.abs(error).max() <= CLOSE * max(1.0, np.abs(targets).max()):
             break
-        steps.append(inverse @ error)
+        ridge = 1e-9 * max(np.trace(moments), 1e-9) * np.eye(len(targets))
+        steps.append(np.linalg.solve(moments + ridge, error))
     return steps
 
 
@@ -124,7 +126,7 @@ def _rater(steps: list[np.ndarray]):
     return run
 
 
-def with_rates(docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[str, float], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``tokens``, ``posteriors``, ``rate`` and ``copies``.
 
     ``weights`` are relative; a domain that it doesn't name gets 0, and one without
@@ -136,7 +138,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, domain: Column, weights: dict
     model, names = fit_domains(docs, labels, domain, sample_rows)
     members = stored(with_posteriors(docs.drop("rate", "copies"), model), "posteriors")
     lean = members.select("tokens", "posteriors")
-    present = _summed(lean, [], len(names))
+    present, _ = _summed(lean, [], len(names))
     wanted = np.array([weights.get(n, 0.0) for n in names]) * (present > 0)
     if names == ["all"] or not wanted.sum():
         wanted = present.copy() if present.sum() else np.ones(len(names))
@@ -146,7 +148,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, domain: Column, weights: dict
     return rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("int"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float]) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[str, float]) -> DataFrame:
     """Each row of ``docs`` as many times as its rate asks for, columns unchanged."""
     rated = with_rates(docs, labels, domain, weights).filter("copies > 0")
     return rated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)

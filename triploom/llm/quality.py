@@ -1,8 +1,8 @@
 """Quality by weak labels.
 
 Heuristic labellers vote good, bad or nothing on every document. Expectation-maximisation
-over the counts of all vote patterns estimates how often each labeller votes what on good
-and on bad documents; the posteriors of a bounded sample then train a hashed linear scorer,
+over the counts of all vote patterns estimates how often each labeller is right about good
+and about bad documents; the posteriors of a bounded sample then train a hashed linear scorer,
 which scores every whole text.
 """
 
@@ -71,28 +71,29 @@ def digits(patterns: np.ndarray) -> np.ndarray:
 
 
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Posteriors of good per pattern, vote shares ``[labeller, bad/good, vote]`` and the prior.
+    """Posteriors of good per pattern, accuracies ``[labeller, bad/good]`` and the prior of good.
 
-    Starts from labellers that are right more often than not, which also says which of the
-    two classes is the good one. Stops when no posterior moves by more than 1e-9.
+    The accuracy of a labeller in a class is how often it is right there when it votes; no
+    vote says nothing. The start, labellers that hardly ever call a good document bad and
+    find some of the bad ones, settles which class is the good one, and that documents with
+    one fault belong to the other class even if no other labeller minds. Stops when no posterior
+    moves by more than 1e-9.
     """
     found = digits(patterns)
-    each = np.arange(found.shape[1])
-    shares = np.tile(np.array([[0.5, 0.35, 0.15], [0.05, 0.25, 0.7]]), (found.shape[1], 1, 1))
-    prior, posterior = 0.8, np.zeros(len(patterns))
+    votes_good, votes_bad = (found == GOOD).astype(float), (found == BAD).astype(float)
+    right = np.tile([0.2, 0.998], (found.shape[1], 1))
+    prior, posterior = 0.85, np.zeros(len(patterns))
     for _ in range(rounds):
-        logs = np.log(shares)
-        good = np.log(prior) + logs[each, 1, found].sum(axis=1)
-        bad = np.log(1 - prior) + logs[each, 0, found].sum(axis=1)
+        good = np.log(prior) + votes_good @ np.log(right[:, 1]) + votes_bad @ np.log(1 - right[:, 1])
+        bad = np.log(1 - prior) + votes_good @ np.log(1 - right[:, 0]) + votes_bad @ np.log(right[:, 0])
         before, posterior = posterior, 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
         if np.abs(posterior - before).max(initial=0) < 1e-9:
             break
-        weights = np.stack([(1 - posterior) * counts, posterior * counts])
-        prior = float(np.clip(weights[1].sum() / max(1, counts.sum()), 0.05, 0.99))
-        for vote in range(3):
-            shares[:, :, vote] = ((found == vote)[:, :, None] * weights.T[:, None, :]).sum(axis=0) + 1
-        shares /= shares.sum(axis=2, keepdims=True)
-    return posterior, shares, prior
+        is_good, is_bad = posterior * counts, (1 - posterior) * counts
+        prior = float(np.clip((is_good.sum() + 8.5) / (counts.sum() + 10), 0.02, 0.98))
+        right[:, 1] = (is_good @ votes_good + 9.98) / (is_good @ (votes_good + votes_bad) + 10)
+        right[:, 0] = (is_bad @ votes_bad + 2) / (is_bad @ (votes_good + votes_bad) + 10)
+    return posterior, right, prior
 
 
 def fit_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from triploom.llm import decontaminate, hnsw, huffman, mixing, packing, quality, simhash_dups, suffix_dups, token_cache, warc
 from triploom.llm.storage import shared_folder, stored
 
-DOMAINS = F.concat(F.lit("quality"), F.col("quality"), F.lit(" toxic"), F.col("toxic"))
+DOMAINS = "concat('quality', quality, ' toxic', toxic)"
 WEIGHTS = {"quality1 toxic0": 0.97, "quality1 toxic1": 0.01, "quality0 toxic0": 0.015, "quality0 toxic1": 0.005}
 
 
@@ -95,4 +95,71 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+WORDS = "list_filter(regexp_split_to_array({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')"
+
+ORACLES = {
+    "op1_benchmark_decontamination": f"""
+WITH items AS (SELECT item_id, {WORDS.format(text="lower(text)")} AS words FROM benchmark),
+item_shingles AS (
+    SELECT item_id, least(5, len(words)) AS k, len(words) - least(5, len(words)) + 1 AS m, o,
+           array_to_string(words[o + 1 : o + least(5, len(words))], ' ') AS shingle
+    FROM (SELECT *, unnest(range(len(words) - least(5, len(words)) + 1)) AS o FROM items WHERE len(words) > 0)
+),
+docs AS (SELECT doc_id, {WORDS.format(text="lower(text)")} AS words FROM documents WHERE doc_id IS NOT NULL),
+doc_shingles AS (
+    SELECT doc_id, k, len(words) - k + 1 AS n, pos, array_to_string(words[pos + 1 : pos + k], ' ') AS shingle
+    FROM (SELECT *, unnest(range(len(words) - k + 1)) AS pos
+          FROM docs, (SELECT DISTINCT k FROM item_shingles) WHERE len(words) >= k)
+),
+windows AS (
+    SELECT DISTINCT doc_id, k, m, n, greatest(0, least(pos - o, n - m)) AS start
+    FROM doc_shingles JOIN item_shingles USING (k, shingle)
+),
+window_counts AS (
+    SELECT w.doc_id, w.k, w.m, w.n, w.start, shingle, count(*) AS c
+    FROM windows w JOIN doc_shingles d ON w.doc_id = d.doc_id AND w.k = d.k AND pos >= start AND pos < start + m
+    GROUP BY ALL
+),
+item_counts AS (SELECT item_id, k, m, shingle, count(*) AS c FROM item_shingles GROUP BY ALL),
+shared AS (
+    SELECT doc_id, item_id, start, m, least(m, n) AS size, sum(least(w.c, i.c))::DOUBLE AS s
+    FROM window_counts w JOIN item_counts i USING (k, m, shingle)
+    GROUP BY ALL
+),
+scored AS (SELECT *, s / (size + m - s) AS similarity FROM shared)
+SELECT doc_id, item_id, round(similarity, 9) AS similarity, start::INTEGER AS window_start, size::INTEGER AS window_shingles
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+""",
+    "op2_warc_archives": """
+WITH payloads AS (
+    SELECT page_id, url, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first,
+           unhex(sha1(coalesce(html, '')))::BIT::VARCHAR AS bits
+    FROM pages
+)
+SELECT page_id, url, strlen(payload) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+           + 16 * substr(bits, (5 * i + 1)::INTEGER, 1)::INTEGER + 8 * substr(bits, (5 * i + 2)::INTEGER, 1)::INTEGER
+           + 4 * substr(bits, (5 * i + 3)::INTEGER, 1)::INTEGER + 2 * substr(bits, (5 * i + 4)::INTEGER, 1)::INTEGER
+           + substr(bits, (5 * i + 5)::INTEGER, 1)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads
+""",
+    "op10_repeated_passages": f"""
+WITH docs AS (SELECT doc_id, {WORDS.format(text="text")} AS words FROM documents WHERE doc_id IS NOT NULL),
+windows AS (
+    SELECT doc_id, start, md5(array_to_string(words[start + 1 : start + 50], ' ')) AS content
+    FROM (SELECT *, unnest(range(len(words) - 49)) AS start FROM docs WHERE len(words) >= 50)
+),
+found AS (
+    SELECT DISTINCT doc_id, start, CASE WHEN low < doc_id THEN low ELSE high END AS other
+    FROM windows JOIN (SELECT content, min(doc_id) AS low, max(doc_id) AS high FROM windows GROUP BY content) USING (content)
+    WHERE low < high
+),
+marked AS (SELECT *, coalesce((start > lag(start) OVER w + 50)::INTEGER, 1) AS fresh FROM found WINDOW w AS (PARTITION BY doc_id ORDER BY start)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS passage FROM marked)
+SELECT doc_id, min(start)::INTEGER AS start_word, (max(start) - min(start) + 50)::INTEGER AS n_words, min(other) AS also_in
+FROM numbered GROUP BY doc_id, passage
+""",
+}

@@ -10,6 +10,7 @@ around it that occur in another document too.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triploom.llm.storage import stored
+from triploom.llm.storage import small, stored
 
 LENGTH = 50
 BLOCK = 26
@@ -70,15 +71,24 @@ class Hasher:
             return _mixed((sums[n:] - sums[:-n]) * down[: len(words) - n + 1])
 
 
+def _sliding(values: np.ndarray, window: int, choose: np.ufunc) -> np.ndarray:
+    """``choose`` (minimum or maximum) over each ``window`` successive values."""
+    reach, out = 1, values
+    while 2 * reach <= window:
+        out, reach = choose(out[:-reach], out[reach:]), 2 * reach
+    return choose(out[: len(values) - window + 1], out[window - reach :])
+
+
 def minimisers(hashes: np.ndarray, window: int) -> np.ndarray:
-    """The positions of the smallest hash, the leftmost of equal ones, of each ``window`` hashes.
+    """The positions of the smallest hash, of all equal ones, of each ``window`` hashes.
 
     A text with fewer hashes than that has none.
     """
     if len(hashes) < window:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    least = _sliding(hashes, window, np.minimum)
+    none = np.zeros(window - 1, np.uint64)
+    return np.flatnonzero(_sliding(np.r_[none, least, none], window, np.maximum) == hashes)
 
 
 def _suffixes(length: int, block: int):
@@ -150,7 +160,7 @@ def _windows(length: int, block: int):
                 count = len(words) - length + 1
                 if count < 1:
                     continue
-                at = np.sort(np.array(batch.column("at")[i].as_py(), np.int64))
+                at = np.array(batch.column("at")[i].as_py(), np.int64)
                 edge = np.zeros(len(words) + 2, np.int64)
                 np.add.at(edge, np.clip(at - reach, 0, count), 1)
                 np.add.at(edge, np.clip(at + 1, 0, count), -1)
@@ -164,6 +174,20 @@ def _windows(length: int, block: int):
     return run
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("_bytes").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([len(t.split()) for t in texts], pa.int32())],
+            names=["doc_id", "digest", "n_words"],
+        )
+
+
+def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join by doc_id; no text is shuffled if the ids surely fit a broadcast."""
+    return docs.join(F.broadcast(ids) if small(ids, 32) else ids, "doc_id", how)
+
+
 def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """The passages of ``length`` words or more that also occur in another document.
 
@@ -173,18 +197,28 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     each of which occurs elsewhere, that overlap or touch. Shorter, empty and NULL texts
     have none. Rows without a doc_id are left out, and rows that share one are one
     document. No limit is set on the number of copies.
+
+    Equal texts are one passage each, from end to end; only the first of them enters the
+    suffix array, in which the others would repeat all that it says.
     """
-    docs = docs.filter("doc_id is not null and text is not null").select("doc_id", F.col("text").cast("binary").alias("_bytes"))
-    matches = matched_suffixes(docs, length, block).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
-    rows = docs.join(matches, "doc_id").mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
-    windows = stored(rows, "windows")
+    docs = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_bytes"))
+    digests = stored(docs.mapInArrow(_digests, "doc_id long, digest binary, n_words int").filter(F.col("n_words") >= length), "digests")
+    alike = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    copies = stored(digests.join(alike, "digest").distinct(), "copies")
+    docs = _only(docs, stored(copies.filter("doc_id > first").select("doc_id").distinct(), "later-copies"), "left_anti")
+    matches = stored(matched_suffixes(docs, length, block).groupBy("doc_id").agg(F.collect_list("at").alias("at")), "matches")
+    rows = _only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
+    windows = rows.mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
     holders = windows.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
-    found = windows.join(holders, ["one", "two"]).select("doc_id", "start", F.when(F.col("_low") < F.col("doc_id"), F.col("_low")).otherwise(F.col("_high")).alias("_other")).distinct()
+    found = windows.join(holders, ["one", "two"]).select("doc_id", "start", F.when(F.col("_low") < F.col("doc_id"), F.col("_low")).otherwise(F.col("_high")).alias("_other"))
+    found = stored(found, "found").distinct()
     order = Window.partitionBy("doc_id").orderBy("start")
     fresh = F.coalesce((F.col("start") > F.lag("start").over(order) + length).cast("int"), F.lit(1))
     passages = found.withColumn("_new", fresh).withColumn("_passage", F.sum("_new").over(order))
-    return (
-        passages.groupBy("doc_id", "_passage")
-        .agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words"), F.min("_other").alias("also_in"))
-        .drop("_passage")
-    )
+    passages = passages.groupBy("doc_id", "_passage").agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words"), F.min("_other").alias("also_in")).drop("_passage")
+    single = passages.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+    second = copies.filter("doc_id > first").groupBy("digest").agg(F.min("doc_id").alias("_second"))
+    beyond = passages.groupBy(F.col("doc_id").alias("first")).agg(F.min("also_in").alias("_beyond"))
+    whole = copies.join(second, "digest").join(beyond, "first", "left")
+    other = F.least(F.when(F.col("doc_id") == F.col("first"), F.col("_second")).otherwise(F.col("first")), "_beyond")
+    return single.unionByName(whole.select("doc_id", F.lit(0).alias("start_word"), "n_words", other.alias("also_in")))
