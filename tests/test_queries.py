@@ -7,6 +7,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from triploom.plans.oracles import ORACLES  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
@@ -22,7 +23,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
     ours = queries()[name](spark, SF_DIR)
     columns = sorted(ours.columns)
