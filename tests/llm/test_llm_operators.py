@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -307,7 +308,7 @@ def test_piece_encoder_equals_library(spark):
     for seed in range(400):
         rng = random.Random(seed)
         texts.append("".join(rng.choices(["a", "B", " ", "  ", "\n", ".", "'s", "é", "1", " ", "<|endoftext|>", "!", "\t", "漢", "　"], k=12)))
-    got = encoder.encode(texts)
+    got = encoder.encode(pa.array(texts))
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, encoder.width).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 

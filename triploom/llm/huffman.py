@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -27,7 +28,8 @@ from triploom.llm.storage import open_folder, shared_folder, stored
 MAGIC = b"TLHUF1\0\0"
 LONGEST = 16
 BLOCK_IDS = 256
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
+TEXT_AT_ONCE = 8 << 20
 TOGETHER = 2_000
 IDS_AT_ONCE = 1 << 20
 ROLL_BYTES = 64 << 20
@@ -43,9 +45,10 @@ class PieceEncoder:
     """Whole texts to ids with the library, which sees each distinct piece about once.
 
     A byte-level tokenizer never lets an id cross from a character that is no white space
-    to a single space before another such character. So a text is cut there, and the ids
-    of its pieces are joined. New pieces go to the library as one text; the ids that start
-    with a space begin the pieces. Texts with any other space are encoded as they are.
+    to a single space or line break before another such character. So a text is cut there,
+    and the ids of its pieces are joined; Arrow finds the distinct pieces of many texts.
+    New ones go to the library as one text; the ids that start with the space or break
+    begin the pieces. Texts with any other white space there are encoded as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,7 +56,7 @@ class PieceEncoder:
         vocabulary = self._tokenizer.get_vocab()
         self.width = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
         self._spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self._spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self._spaced[[i for token, i in vocabulary.items() if token[0] in "ĠĊ"]] = True
         self._known: dict[str, bytes | None] = {}
         self._first: dict[str, bytes | None] = {}
 
@@ -64,53 +67,73 @@ class PieceEncoder:
     def _learn(self, pieces: set[str]) -> None:
         plain = []
         for piece in pieces:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
+            inner = piece[1:] if piece[:1] == "\n" else piece
+            if not inner or inner[0].isspace() or inner[-1].isspace():
                 self._known[piece] = None
             else:
-                plain.append(piece)
+                plain.append(piece if inner is not piece else " " + piece)
         size = np.dtype(self.width).itemsize
         for start in range(0, len(plain), TOGETHER):
             part = plain[start : start + TOGETHER]
-            ids = np.array(self._tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype=self.width)
+            ids = np.array(self._tokenizer.encode("".join(part), add_special_tokens=False).ids, dtype=self.width)
             begins = np.flatnonzero(self._spaced[ids])
             if len(begins) != len(part):
-                self._known.update(zip(part, self.whole([" " + p for p in part]), strict=True))
+                self._known.update(zip((p.removeprefix(" ") for p in part), self.whole(part), strict=True))
                 continue
             raw, ends = ids.tobytes(), np.append(begins[1:], len(ids)) * size
             for piece, a, b in zip(part, (begins * size).tolist(), ends.tolist(), strict=True):
-                self._known[piece] = raw[a:b]
+                self._known[piece.removeprefix(" ")] = raw[a:b]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as packed integers of ``width``."""
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        """The ids of each text as packed integers of ``width``; no text may be NULL."""
         if len(self._known) > CACHE_PIECES:
             self._known.clear()
             self._first.clear()
-        cut = [text.split(" ") for text in texts]
-        known = self._known
-        self._learn({w for pieces in cut for w in pieces[1:] if w not in known})
-        heads = list({pieces[0] for pieces in cut}.difference(self._first))
-        self._first.update(zip(heads, self.whole(heads), strict=True))
-        self._first.update((h, None) for h in heads if not h or h[-1].isspace())
-        out = []
-        for text, (head, *pieces) in zip(texts, cut, strict=True):
-            if not pieces:
-                out.append(self._first[head] if self._first[head] is not None else self.whole([text])[0])
-                continue
-            try:
-                out.append(self._first[head] + b"".join(map(known.__getitem__, pieces)))
-            except TypeError:  # a piece that can't stand alone
-                out.append(self.whole([text])[0])
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        codes, pieces, known = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist(), self._known
+        self._learn({w for w in pieces if w not in known})
+        heads = [pieces[c] for c in codes[offsets[:-1]]]
+        new = list(set(heads).difference(self._first))
+        self._first.update(zip(new, self.whole(new), strict=True))
+        self._first.update((h, None) for h in new if not h or h[-1].isspace())
+        found = [known[w] for w in pieces] + [self._first[h] for h in heads]
+        codes[offsets[:-1]] = len(pieces) + np.arange(len(heads))
+        alone = np.array([f is not None for f in found])
+        sizes = np.array([len(f or b"") for f in found]) // np.dtype(self.width).itemsize
+        ids = np.frombuffer(b"".join(f or b"" for f in found), self.width)
+        plain = np.logical_and.reduceat(alone[codes], offsets[:-1])
+        taken = sizes[codes]
+        ends = np.cumsum(taken)
+        at = np.repeat(np.cumsum(sizes)[codes] - ends, taken) + np.arange(ends[-1])
+        joined = ids[at]
+        bounds = np.r_[0, ends][offsets]
+        out = [joined[x:y].tobytes() for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            for i, own in zip(rest.tolist(), self.whole(texts.take(pa.array(rest)).to_pylist()), strict=True):
+                out[i] = own
         return out
 
 
+def _pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``TEXT_AT_ONCE`` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    groups = np.cumsum(sizes, dtype=np.int64) // TEXT_AT_ONCE
+    cuts = np.r_[0, np.flatnonzero(np.diff(groups)) + 1, batch.num_rows]
+    return (batch.slice(x, y - x) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if y > x)
+
+
 def _tokenise(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         end = np.array([end_id], dtype=encoder.width).tobytes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids = [x + end for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
+            for part in _pieces_of(batch):
+                ids = [x + end for x in encoder.encode(pc.fill_null(part.column("text"), ""))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return run

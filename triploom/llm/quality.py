@@ -21,6 +21,7 @@ from triploom.llm.storage import stored
 
 SAMPLE_ROWS = 8_000
 ROUNDS = 100
+RARELY = 0.998
 BAD, NONE, GOOD = 0, 1, 2
 
 #: name, trait, bad from, good up to, words needed; between the limits there is no vote.
@@ -76,12 +77,14 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     The accuracy of a labeller in a class is how often it is right there when it votes; no
     vote says nothing. The start, labellers that hardly ever call a good document bad and
     find some of the bad ones, settles which class is the good one, and that documents with
-    one fault belong to the other class even if no other labeller minds. Stops when no posterior
+    one fault belong to the other class even if no other labeller minds. That share,
+    ``RARELY``, is also a prior that weighs as much as all documents do: kinds of junk exclude
+    each other, so without it the classes drift to one kind of junk against all the rest. Stops when no posterior
     moves by more than 1e-9.
     """
     found = digits(patterns)
     votes_good, votes_bad = (found == GOOD).astype(float), (found == BAD).astype(float)
-    right = np.tile([0.2, 0.998], (found.shape[1], 1))
+    right = np.tile([0.2, RARELY], (found.shape[1], 1))
     prior, posterior = 0.85, np.zeros(len(patterns))
     for _ in range(rounds):
         good = np.log(prior) + votes_good @ np.log(right[:, 1]) + votes_bad @ np.log(1 - right[:, 1])
@@ -91,7 +94,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
             break
         is_good, is_bad = posterior * counts, (1 - posterior) * counts
         prior = float(np.clip((is_good.sum() + 8.5) / (counts.sum() + 10), 0.02, 0.98))
-        right[:, 1] = (is_good @ votes_good + 9.98) / (is_good @ (votes_good + votes_bad) + 10)
+        right[:, 1] = (is_good @ votes_good + RARELY * counts.sum()) / (is_good @ (votes_good + votes_bad) + counts.sum() + 1e-9)
         right[:, 0] = (is_bad @ votes_bad + 2) / (is_bad @ (votes_good + votes_bad) + 10)
     return posterior, right, prior
 
