@@ -21,7 +21,7 @@ from triploom.llm.storage import stored
 
 SAMPLE_ROWS = 8_000
 ROUNDS = 100
-RARELY = 0.998
+RARELY, MOSTLY = 0.002, 0.95
 BAD, NONE, GOOD = 0, 1, 2
 
 #: name, trait, bad from, good up to, words needed; between the limits there is no vote.
@@ -74,29 +74,37 @@ def digits(patterns: np.ndarray) -> np.ndarray:
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """Posteriors of good per pattern, accuracies ``[labeller, bad/good]`` and the prior of good.
 
-    The accuracy of a labeller in a class is how often it is right there when it votes; no
-    vote says nothing. The start, labellers that hardly ever call a good document bad and
-    find some of the bad ones, settles which class is the good one, and that documents with
-    one fault belong to the other class even if no other labeller minds. That share,
-    ``RARELY``, is also a prior that weighs as much as all documents do: kinds of junk exclude
-    each other, so without it the classes drift to one kind of junk against all the rest. Stops when no posterior
-    moves by more than 1e-9.
+    Faults exclude each other more than they come together, so a single class of bad
+    documents would drift to the most frequent fault. There is one hidden class of good
+    documents and one per labeller, of documents with the fault that it looks for. EM
+    estimates the shares of the classes and how often each labeller calls a document of
+    each class bad when it votes; no vote says nothing. That labellers rarely do so for good
+    documents (``RARELY``) and mostly do for their own fault (``MOSTLY``) is a prior that
+    weighs as much as all documents. Stops when no posterior moves by more than 1e-9.
     """
     found = digits(patterns)
     votes_good, votes_bad = (found == GOOD).astype(float), (found == BAD).astype(float)
-    right = np.tile([0.2, RARELY], (found.shape[1], 1))
-    prior, posterior = 0.85, np.zeros(len(patterns))
+    n, labellers = counts.sum(), found.shape[1]
+    calls = np.full((labellers, labellers + 1), 0.1)
+    calls[:, 0] = RARELY
+    calls[np.arange(labellers), np.arange(1, labellers + 1)] = MOSTLY
+    believed, weight = calls.copy(), np.full_like(calls, 2.0)
+    weight[:, 0] = weight[np.arange(labellers), np.arange(1, labellers + 1)] = n + 1
+    shares = np.r_[0.85, np.full(labellers, 0.15 / labellers)]
+    posterior, members = np.zeros(len(patterns)), np.zeros((len(patterns), labellers + 1))
     for _ in range(rounds):
-        good = np.log(prior) + votes_good @ np.log(right[:, 1]) + votes_bad @ np.log(1 - right[:, 1])
-        bad = np.log(1 - prior) + votes_good @ np.log(1 - right[:, 0]) + votes_bad @ np.log(right[:, 0])
-        before, posterior = posterior, 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
+        members = np.log(shares) + votes_bad @ np.log(calls) + votes_good @ np.log(1 - calls)
+        members = np.exp(members - members.max(axis=1, keepdims=True))
+        members /= members.sum(axis=1, keepdims=True)
+        before, posterior = posterior, members[:, 0]
         if np.abs(posterior - before).max(initial=0) < 1e-9:
             break
-        is_good, is_bad = posterior * counts, (1 - posterior) * counts
-        prior = float(np.clip((is_good.sum() + 8.5) / (counts.sum() + 10), 0.02, 0.98))
-        right[:, 1] = (is_good @ votes_good + RARELY * counts.sum()) / (is_good @ (votes_good + votes_bad) + counts.sum() + 1e-9)
-        right[:, 0] = (is_bad @ votes_bad + 2) / (is_bad @ (votes_good + votes_bad) + 10)
-    return posterior, right, prior
+        held = members * counts[:, None]
+        shares = (held.sum(axis=0) + 1e-3) / (n + 1e-3 * len(shares))
+        calls = (votes_bad.T @ held + believed * weight) / ((votes_bad + votes_good).T @ held + weight)
+    bad = (members[:, 1:] * counts[:, None]).sum(axis=1)
+    spotted = (votes_bad.T @ bad + 1) / ((votes_bad + votes_good).T @ bad + 2)
+    return posterior, np.stack([spotted, 1 - calls[:, 0]], axis=1), float(shares[0])
 
 
 def fit_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, DataFrame]:
@@ -138,7 +146,8 @@ def _scorer(model: Linear):
 def with_quality(docs: DataFrame, model: Linear) -> DataFrame:
     """All columns of ``docs`` with ``quality_score``, the scorer's probability of good.
 
-    Texts without words, empty and NULL ones too, score 0. Rows are kept as they are;
+    Texts without words, empty and NULL ones too, score 0. From a sample too small to tell
+    good from bad, all others score its share of good ones. Rows are kept as they are;
     a column of the input named ``quality_score`` is replaced.
     """
     rows = docs.drop("quality_score").withColumn("_bytes", F.col("text").cast("binary"))
