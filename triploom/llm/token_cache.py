@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triploom.llm.storage import stored
+
 CACHE_SCHEMA = "digest string, tokenizer string, n_tokens long"
 AT_ONCE = 64
 
@@ -86,7 +88,9 @@ def token_counts(docs: DataFrame, cache: str, model_path: str, limit: int) -> Da
     """
     fill_cache(docs, cache, model_path)
     text = normalised(F.col("text"))
-    counts = cached_counts(docs.sparkSession, cache, tokenizer_version(model_path))
+    # Written out, the counts meet the rows in a plain join, of which Spark can split a
+    # digest that a third of the rows share.
+    counts = stored(cached_counts(docs.sparkSession, cache, tokenizer_version(model_path)), "counts")
     rows = docs.withColumns({"n_bytes": F.octet_length(text).cast("long"), "_digest": F.sha2(text, 256)})
     rows = rows.drop("text", "n_tokens", "over_limit")
     found = rows.join(counts.withColumnRenamed("digest", "_digest"), "_digest").drop("_digest")
