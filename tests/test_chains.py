@@ -91,11 +91,26 @@ def test_missing_vertices_weigh_nothing(spark):
     assert as_dict(longest_chains(vertices, edges, "count"))[2] == (3.0, 1)
 
 
+def test_rounds_have_no_limit_but_the_callers(spark):
+    vertices = spark.createDataFrame([(i, 1.0) for i in range(24)], "tripId long, weight double")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(23)], "src long, dst long")
+    assert as_dict(longest_chains(vertices, edges))[23] == (24.0, 22)
+    with pytest.raises(RuntimeError, match="max_rounds=3"):
+        longest_chains(vertices, edges, max_rounds=3)
+
+
+def test_null_distances_weigh_nothing_and_link(spark):
+    vertices = spark.createDataFrame([(1, 5.0), (2, None), (3, 7.0)], "tripId long, trip_distance double")
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
+    graph = trip_vertices(vertices)
+    assert as_dict(longest_chains(graph, edges)) == {1: (5.0, 1), 2: (5.0, 1), 3: (12.0, 2)}
+
+
 def test_cycles_raise(spark):
     vertices = spark.createDataFrame([(1, 2.0), (2, 1.0)], "tripId long, weight double")
     edges = spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long")
     with pytest.raises(RuntimeError, match="cycle"):
-        longest_chains(vertices, edges, max_rounds=5)
+        longest_chains(vertices, edges)
 
 
 def test_bad_arguments(trips):
@@ -147,23 +162,22 @@ def micros(moment):
 
 
 def brute_edges(rows, max_idle):
-    ends = [r for r in rows if r[1] and r[2] and r[2] >= r[1]]
+    in_order = [r for r in rows if not (r[1] and r[2] and r[2] < r[1])]
     return {
         (a[0], b[0])
-        for a in ends
-        for b in ends
-        if a[4] is not None and a[4] == b[3] and a[2] < b[1]
+        for a in in_order
+        for b in in_order
+        if a[2] and b[1] and a[4] is not None and a[4] == b[3] and a[2] < b[1]
         and micros(b[1]) // 1_000_000 - micros(a[2]) // 1_000_000 < max_idle
     }
 
 
 def brute_chains(rows, edges, weight):
-    known = {r[0]: (r[5] if weight == "distance" else 1.0) for r in rows if r[5] is not None}
-    order = sorted((r for r in rows if r[0] in known), key=lambda r: (r[1] is not None, r[1] or EPOCH))
+    known = {r[0]: ((r[5] or 0.0) if weight == "distance" else 1.0) for r in rows}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or EPOCH))
     fathers = {}
     for a, b in edges:
-        if a in known and b in known:
-            fathers.setdefault(b, []).append(a)
+        fathers.setdefault(b, []).append(a)
     result = {}
     for row in order:
         v = row[0]
@@ -184,8 +198,7 @@ def test_against_brute_force(spark, seed, max_idle, sub_second):
     assert edge_set(successor_edges(df, max_idle, hot_rows=3)) == edges
 
     expected = brute_chains(rows, edges, "distance")
-    known = df.filter("trip_distance is not null")
-    graph = longest_chains(trip_vertices(known), successor_edges(known, max_idle))
+    graph = longest_chains(trip_vertices(df), successor_edges(df, max_idle))
     assert as_dict(graph) == expected
     for options in (
         {"strategy": "frontier"},
@@ -240,7 +253,7 @@ def test_self_following_trip_raises_when_kept(spark):
     df = spark.createDataFrame(rows, TIMED)
     assert as_dict(trip_chains(df)) == {1: (1.0, 1)}
     with pytest.raises(Exception, match="cycle"):
-        trip_chains(df, invalid_trips="keep", max_rounds=6)
+        trip_chains(df, invalid_trips="keep")
 
 
 def test_places_may_be_text(spark):

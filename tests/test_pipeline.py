@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -65,9 +66,13 @@ def test_stages_run_alone(spark, params):
 
 
 def test_paths_carry_the_parameters(params):
-    assert params.enriched_path.endswith("enriched_f_1.parquet")
-    assert params.model_path.endswith("iforest_c_0.005_f_1.model")
-    assert params.cleaned_path.endswith("cleaned_c_0.005_f_1.parquet")
+    assert "enriched_speed-" in params.enriched_path
+    others = [
+        replace(params, features="speed_distance"), replace(params, features=("trip_distance",)), replace(params, seed=9),
+        replace(params, num_trees=7), replace(params, max_samples=9), replace(params, contamination=0.1), replace(params, trips_path="other.csv"),
+    ]
+    for stage in ("model_path", "predicted_path", "cleaned_path"):
+        assert len({getattr(p, stage) for p in [params, *others]}) == len(others) + 1
 
 
 def test_reports(spark, files):

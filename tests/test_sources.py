@@ -8,8 +8,8 @@ from triploom.sources import cut_lineage, read_stage, write_stage
 
 HEADER = ",".join(TRIPS_SCHEMA.names)
 LINES = [
-    "1,2019-09-01 00:59:11,2019-09-01 00:59:15,1,.00,1,N,145,145,2,2.5,0.5,0.5,0,0,0.3,3.8,0",
-    ",2019-09-01 07:51:00,2019-09-01 08:12:00,,4.7,,,133,61,,24.13,0,0.5,0,0,0.3,27.43,2.5",
+    "1,2021-03-04 10:00:01,2021-03-04 10:00:09,2,.00,1,N,7,9,2,3.5,1,0.25,0,0,0.1,4.85,0",
+    ",2021-03-04 11:30:00,2021-03-04 11:45:30,,6.1,,,12,8,,17.75,0,0.25,0,0,0.1,18.1,1.5",
 ]
 
 
@@ -27,10 +27,34 @@ def test_trips_csv_with_mark_and_windows_line_ends(spark, trips_file):
     assert first["VendorID"] == 1
     assert first["trip_distance"] == 0.0
     assert first["congestion_surcharge"] == 0.0
-    assert first["tpep_dropoff_datetime"] == datetime(2019, 9, 1, 0, 59, 15)
+    assert first["tpep_dropoff_datetime"] == datetime(2021, 3, 4, 10, 0, 9)
     assert [second[c] for c in ("VendorID", "passenger_count", "store_and_fwd_flag")] == [None] * 3
 
 
+def test_columns_are_found_by_name(spark, tmp_path, trips_file):
+    names = TRIPS_SCHEMA.names
+    order = [*reversed(names)]
+    rows = [dict(zip(names, line.split(","), strict=True)) for line in LINES]
+    lines = [",".join(["note", *order]), *(",".join(["x", *(r[n] for n in order)]) for r in rows)]
+    path = tmp_path / "reordered.csv"
+    path.write_text("\n".join(lines))
+    assert read_trips(spark, str(path)).collect() == read_trips(spark, trips_file).collect()
+
+
+def test_missing_columns_and_malformed_values_fail(spark, tmp_path):
+    path = tmp_path / "few.csv"
+    path.write_text("VendorID,trip_distance\n1,2.0\n")
+    with pytest.raises(ValueError, match="total_amount"):
+        read_trips(spark, str(path))
+    zones = tmp_path / "zones.csv"
+    zones.write_text("LocationID,Borough,Zone,service_zone\n7.0,A,B,C\n")
+    assert read_locations(spark, str(zones)).first()["LocationID"] == 7
+    zones = tmp_path / "bad.csv"
+    zones.write_text("LocationID,Borough,Zone,service_zone\n7.5,A,B,C\n")
+    with pytest.raises(Exception, match="LocationID is not a int"):
+        read_locations(spark, str(zones)).collect()
+
+
 def test_inferred_schema_is_the_same(spark, trips_file):
     df = read_trips(spark, trips_file, infer=True)
     assert df.columns == TRIPS_SCHEMA.names

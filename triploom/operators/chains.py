@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triploom.operators.relaxation import BROADCAST_ROWS, MAX_ROUNDS, hinted, relax
+from triploom.operators.relaxation import BROADCAST_ROWS, hinted, positive_total, relax
 from triploom.operators.skew import HOT_ROWS, split_hot_keys
 from triploom.schema import TRIP_COLUMNS, TripColumns
 from triploom.sources.checkpoints import cut_lineage
@@ -26,16 +26,17 @@ def with_trip_id(
 def trip_vertices(
     trips: DataFrame, weight: str = "distance", cols: TripColumns = TRIP_COLUMNS
 ) -> DataFrame:
-    """Vertices ``(tripId, weight)``; trips without a distance are left out."""
-    return trips.filter(F.col(cols.distance).isNotNull()).select(
+    """Vertices ``(tripId, weight)``; a trip without a distance weighs 0.0."""
+    return trips.select(
         F.col(cols.trip_id).cast("long").alias("tripId"),
         chosen_weight(weight, F.col(cols.distance).cast("double")).alias("weight"),
     )
 
 
 def chosen_weight(weight: str, distance: Column) -> Column:
+    """The weight of a trip: its distance, 0.0 if that is NULL, or 1.0 for each trip."""
     if weight == "distance":
-        return distance
+        return F.coalesce(distance, F.lit(0.0))
     if weight == "count":
         return F.lit(1.0)
     raise ValueError(f"unknown weight {weight!r}; use 'distance' or 'count'")
@@ -57,7 +58,7 @@ def longest_chains(
     vertices: DataFrame,
     edges: DataFrame,
     weight: str = "distance",
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
@@ -68,10 +69,11 @@ def longest_chains(
     id among the best predecessors, or the vertex itself when none adds weight.
 
     Each round sends the vertices that rose along their edges and keeps what beats the
-    known sums; it ends when nothing rises. The graph must have no cycles, else
-    ``max_rounds`` raises. Edges carry the weight of their source, so the vertex table
+    known sums; it ends when nothing rises. A cycle raises once a sum outweighs all
+    vertices together. Edges carry the weight of their source, so the vertex table
     itself takes no part in the rounds.
     """
+    edges = cut_lineage(edges)  # read by the assembly, the count of hot keys and the links
     graph = cut_lineage(
         assemble_graph(vertices, edges).select(
             "id", chosen_weight(weight, F.col("weight")).alias("weight")
@@ -87,11 +89,16 @@ def longest_chains(
         return sent.filter(reach > 0).select(F.col("dst").alias("id"), reach.alias("cum"))
 
     def propose(frontier: DataFrame, small: bool) -> DataFrame:
-        return offers(links.join(hinted(spread(frontier), small), keys))
+        ready = spread(frontier)
+        fits = small and (
+            ready is frontier or ready.limit(broadcast_rows + 1).count() <= broadcast_rows
+        )
+        return offers(links.join(hinted(ready, fits), keys))
 
     first = offers(links.withColumn("cum", F.lit(0.0)))
     first = first.groupBy("id").agg(F.max("cum").alias("cum"))
-    raised = relax(first, ["id"], propose, max_rounds, broadcast_rows)
+    ceiling = positive_total(graph)
+    raised = relax(first, ["id"], propose, ceiling, max_rounds, broadcast_rows)
     # every sum is final now, so the best offer to a vertex is what it holds
     state = cut_lineage(
         graph.join(raised, "id", "left").withColumn("cum", F.coalesce("cum", F.lit(0.0)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triploom.functions import money_sum
@@ -37,7 +37,6 @@ def neighbour_totals(
     depth: int = 1,
     value: str = "total_amount",
     scale: int | None = None,
-    tile: int | None = None,
     cols: TripColumns = TRIP_COLUMNS,
 ) -> DataFrame:
     """Each pair's total plus the totals of all pairs at most ``depth`` ids away.
@@ -45,75 +44,34 @@ def neighbour_totals(
     Only pairs present in the data are returned. A pair whose own total is NULL
     stays NULL, and a pair with a NULL id has no neighbours.
 
-    The id grid is cut into square tiles and every pair total is sent to its own
-    tile and to those within ``depth`` of it: about ``(1 + 2 * depth / tile)²``
-    copies. The shifted copies are then made and summed inside the tile, without
-    a further shuffle. A tile has at most ``(tile + 2 * depth)²`` pairs, whatever
-    the number of trips behind them.
+    The square is summed one axis after the other: ``2 * depth + 1`` copies of each pair,
+    one per drop-off in reach, are summed per cell, and a window over the pickups in reach
+    adds up the cells of a drop-off. So rows grow with the depth and not with its square. A
+    window holds one drop-off: at most one row per pickup id, whatever the number of trips.
     """
     if depth < 0:
         raise ValueError("depth must not be negative")
-    tile = tile or max(64, 8 * depth)
     pickup, dropoff = cols.pair
-
-    totals = pair_totals(df, value, scale=scale, cols=cols).select(
-        F.col(pickup).cast("long").alias("pu"),
-        F.col(dropoff).cast("long").alias("do"),
-        F.col(value).alias("amount"),
-    )
-    in_tiles = (
-        totals.withColumn("tile_pu", F.explode(_tiles("pu", depth, tile)))
-        .withColumn("tile_do", F.explode(_tiles("do", depth, tile)))
-        .repartition("tile_pu", "tile_do")
-    )
-
-    has_ids = F.col("pu").isNotNull() & F.col("do").isNotNull()
-    reach = F.sequence(F.lit(-depth), F.lit(depth))
-    stay = F.array(F.lit(0))
-    shifted = (
-        in_tiles.withColumn("i", F.explode(F.when(has_ids, reach).otherwise(stay)))
-        .withColumn("j", F.explode(F.when(has_ids, reach).otherwise(stay)))
-        .select(
-            "tile_pu",
-            "tile_do",
-            (F.col("pu") + F.col("i")).alias("pu"),
-            (F.col("do") + F.col("j")).alias("do"),
-            ((F.col("i") == 0) & (F.col("j") == 0)).alias("own"),
-            "amount",
-        )
-        .filter(
-            _tile_of("pu", tile).eqNullSafe(F.col("tile_pu"))
-            & _tile_of("do", tile).eqNullSafe(F.col("tile_do"))
-        )
+    amount = F.col(value) if scale is None else F.col(value).cast(f"decimal(18,{scale})")
+    totals = df.groupBy(*cols.pair).agg(F.sum(amount).alias("amount")).select(
+        F.col(pickup).cast("long").alias("pu"), F.col(dropoff).cast("long").alias("do"), "amount"
     )
-    summed = money_sum(F.when(~F.col("own"), F.col("amount")), scale)
-    return (
-        shifted.groupBy("tile_pu", "tile_do", "pu", "do")
-        .agg(
-            F.max("own").alias("present"),
-            F.max(F.when(F.col("own"), F.col("amount"))).alias("own_amount"),
-            F.coalesce(summed, F.lit(0.0)).alias("around"),
-        )
-        .filter("present")
-        .select(
-            F.col("pu").cast(df.schema[pickup].dataType).alias(pickup),
-            F.col("do").cast(df.schema[dropoff].dataType).alias(dropoff),
-            (F.col("own_amount") + F.col("around")).alias(f"cumulated_{value}"),
-        )
+    placed = F.col("pu").isNotNull() & F.col("do").isNotNull()
+    steps = F.when(placed, F.sequence(F.lit(-depth), F.lit(depth))).otherwise(F.array(F.lit(0)))
+    own = F.when(F.col("step") == 0, F.col("amount"))
+    cells = (
+        totals.withColumn("step", F.explode(steps))
+        .select("pu", (F.col("do") + F.col("step")).alias("do"), "step", "amount")
+        .repartition("do")
+        .groupBy("pu", "do")
+        .agg(F.max(F.col("step") == 0).alias("present"), F.max(own).alias("own"), F.sum("amount").alias("amount"))
     )
-
-
-def _tile_of(column: Column | str, tile: int) -> Column:
-    """Smallest id of the tile that holds the id."""
-    column = F.col(column) if isinstance(column, str) else column
-    return column - F.pmod(column, F.lit(tile))
-
-
-def _tiles(column: str, depth: int, tile: int) -> Column:
-    """Tiles that hold an id within ``depth`` of the column; NULL for a NULL id."""
-    first = _tile_of(F.col(column) - depth, tile)
-    last = _tile_of(F.col(column) + depth, tile)
-    no_tile = F.array(F.lit(None).cast("long"))
-    return F.when(F.col(column).isNull(), no_tile).otherwise(
-        F.sequence(first, last, F.lit(tile).cast("long"))
+    lane = ["do", F.when(F.col("do").isNull(), F.col("pu"))]  # a NULL id has no neighbours
+    near = Window.partitionBy(*lane).orderBy("pu").rangeBetween(-depth, depth)
+    summed = cells.withColumn("around", F.sum("amount").over(near)).filter("present")
+    found = summed.select("pu", "do", F.when(F.col("own").isNotNull(), F.col("around")).alias("amount"))
+    return found.select(
+        F.col("pu").cast(df.schema[pickup].dataType).alias(pickup),
+        F.col("do").cast(df.schema[dropoff].dataType).alias(dropoff),
+        F.col("amount").cast("double").alias(f"cumulated_{value}"),
     )

@@ -17,7 +17,8 @@ def chain_paths(result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS) -> Data
 
     Predecessor links are squared: after n rounds a link spans 2ⁿ trips, so a chain of
     L trips takes about log₂ L rounds. Only links that exist in full are kept, so the
-    table of links shrinks with every round.
+    table of links shrinks with every round. A link that spans more trips than there are
+    links proves a cycle and raises.
     """
     best = top_k(result, "longestDistance", k, ["tripID"])
     rank = Window.orderBy(F.desc("longestDistance"), "tripID")  # over k rows
@@ -32,22 +33,28 @@ def chain_paths(result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS) -> Data
         F.col("tripID").alias("trip"), F.col("previousTripID").alias("ancestor")
     )
     links = cut_lineage(links)
-    span = 1
-    while True:
+    longest, span = links.count(), 1
+    while span <= 2 * longest:
         reached = cut_lineage(
             found.join(links, "trip").select(
                 "chain", F.col("ancestor").alias("trip"), (F.col("back") + span).alias("back")
             )
         )
         if reached.isEmpty():
-            break
+            return _positions(found)
         found = found.unionAll(reached)
         links = cut_lineage(_squared(links, hot_rows))
         span *= 2
-    length = Window.partitionBy("chain")
-    return found.select(
+    if longest:
+        raise RuntimeError("the predecessors have a cycle")
+    return _positions(found)
+
+
+def _positions(found: DataFrame) -> DataFrame:
+    lengths = found.groupBy("chain").agg(F.max("back").alias("longest"))
+    return found.join(F.broadcast(lengths), "chain").select(
         "chain",
-        (F.max("back").over(length) - F.col("back") + 1).alias("position"),
+        (F.col("longest") - F.col("back") + 1).alias("position"),
         F.col("trip").alias("tripID"),
     )
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import struct
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +15,13 @@ BINS = 4096
 def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> float | None:
     """Smallest value at or below which a share of at least ``q`` of the rows lies.
 
-    Each pass counts the rows of ``bins`` equal value ranges and keeps the range with
-    the wanted rank, until that range holds a single distinct value. The driver sees at
-    most ``bins`` counts per pass, and neither sorts nor value lists are needed. Only the
-    values are kept between passes, so ``df`` itself is computed once.
+    Each pass counts the rows of ``bins`` ranges and keeps the range with the wanted rank,
+    until that range holds a single value. The ranges are equally wide in the order of the
+    doubles' bits, of which a pass settles twelve: six passes at most for any values,
+    infinities included. NULL and NaN are left out. The driver sees at most ``bins`` counts
+    per pass. Only the values are kept between passes, so ``df`` itself is computed once.
     """
-    values = df.select(F.col(column).cast("double").alias("x"))
+    values = df.select((F.col(column).cast("double") + F.lit(0.0)).alias("x"))
     values = values.filter("x is not null and not isnan(x)").persist()
     try:
         return _find_rank(values, q, bins)
@@ -26,28 +29,37 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> fl
         values.unpersist()
 
 
+def order_key(value: float) -> int:
+    """The place of a double among all doubles; both zeros are 0."""
+    bits = struct.unpack("<q", struct.pack("<d", value))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+
+def from_order_key(key: int) -> float:
+    value = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return value if key >= 0 else -value
+
+
 def _find_rank(values: DataFrame, q: float, bins: int) -> float | None:
     count, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if count == 0:
         return None
-    if math.isinf(low) or math.isinf(high):
-        raise ValueError("infinite values have no place in equal value ranges")
     rank = min(max(math.ceil(q * count), 1), count)
-    while low < high:
-        share = (F.col("x") - F.lit(low)) / F.lit(high - low)
-        bin_of = F.least(F.lit(bins - 1), F.floor(share * bins).cast("int"))
-        ranges = (
-            values.filter(F.col("x").between(low, high))
-            .groupBy(bin_of.alias("bin"))
-            .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .collect()  # at most `bins` rows
+    first, last = order_key(low), order_key(high)
+    while first < last:
+        width = -(-(last - first + 1) // bins)
+        starts = [from_order_key(k) for k in range(first, last + 1, width)]
+        inside = values.filter(F.col("x").between(from_order_key(first), from_order_key(last)))
+        cut = Bucketizer(splits=[*starts, math.inf] if starts[-1] < math.inf else starts, inputCol="x", outputCol="bin")
+        ranges = cut.transform(inside).groupBy("bin").agg(
+            F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
         )
-        for part in sorted(ranges, key=lambda r: r["bin"]):
+        for part in sorted(ranges.collect(), key=lambda r: r["bin"]):  # at most `bins` rows
             if rank <= part["n"]:
-                low, high = part["low"], part["high"]
+                first, last = order_key(part["low"]), order_key(part["high"])
                 break
             rank -= part["n"]
-    return low
+    return from_order_key(first)
 
 
 def outlier_threshold(
@@ -74,8 +86,12 @@ def outlier_threshold(
 def label_above(
     df: DataFrame, score_col: str, threshold: float, label_col: str = "predictedLabel"
 ) -> DataFrame:
-    """Label 1.0 for scores at or above the threshold, else 0.0."""
-    is_outlier = F.col(score_col) >= F.lit(threshold)
+    """Label 1.0 for scores at or above the threshold, else 0.0.
+
+    A NULL or NaN score counts neither for the threshold nor as an outlier.
+    """
+    score = F.col(score_col)
+    is_outlier = (score >= F.lit(threshold)) & ~F.isnan(score)
     return df.withColumn(label_col, F.when(is_outlier, 1.0).otherwise(0.0))
 
 
@@ -87,9 +103,9 @@ def label_by_contamination(
     return label_above(df, score_col, threshold)
 
 
-def outliers(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("predictedLabel") == 1)
+def outliers(df: DataFrame, label_col: str = "predictedLabel") -> DataFrame:
+    return df.filter(F.col(label_col) == 1)
 
 
-def drop_outliers(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("predictedLabel") == 0)
+def drop_outliers(df: DataFrame, label_col: str = "predictedLabel") -> DataFrame:
+    return df.filter(F.col(label_col) == 0)

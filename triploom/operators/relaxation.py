@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from triploom.sources.checkpoints import cut_lineage
 
-MAX_ROUNDS = 10_000
 COMPACT_EVERY = 16
+ROUNDING = 1e-6
 BROADCAST_ROWS = 200_000
 
 Propose = Callable[[DataFrame, bool], DataFrame]
@@ -21,7 +21,8 @@ def relax(
     offers: DataFrame,
     keys: Sequence[str],
     propose: Propose,
-    max_rounds: int = MAX_ROUNDS,
+    ceiling: float,
+    max_rounds: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     compact_every: int = COMPACT_EVERY,
 ) -> DataFrame:
@@ -31,15 +32,21 @@ def relax(
     zero. Each round stores the offers that beat what is known, and
     ``propose(frontier, small)`` turns those into the next ones, until none is left.
 
+    ``ceiling`` is the sum of all positive weights. A path without repeats can't hold more,
+    so a larger ``cum`` proves a cycle; the number of rounds needs no limit. ``max_rounds``
+    is for callers who want one.
+
     A round writes only the rows it raised, which also ends its lineage. ``small`` says
     that the frontier was counted and has at most ``broadcast_rows`` rows, so it may be
     broadcast and the large tables stay where they are; beyond that both sides shuffle.
     """
     raised: list[DataFrame] = []
+    counts: list[int] = []
     total = 0
-    for _ in range(max_rounds):
+    while max_rounds is None or len(counts) < max_rounds:
         frontier = rise(offers, raised, keys, total, broadcast_rows)
-        count = frontier.count()
+        count = checked_count(frontier, "cum", ceiling)
+        counts.append(count)
         raised.append(frontier)
         if count == 0:
             return latest(raised, keys)
@@ -47,7 +54,20 @@ def relax(
         if len(raised) > compact_every:
             raised = [cut_lineage(latest(raised, keys))]
         offers = propose(frontier, count <= broadcast_rows)
-    raise RuntimeError(f"chains still grow after {max_rounds} rounds; is there a cycle?")
+    raise RuntimeError(f"chains still grow after max_rounds={max_rounds}")
+
+
+def positive_total(df: DataFrame, weight: str = "weight") -> float:
+    """Sum of the weights above zero: no path can hold more."""
+    return df.agg(F.sum(F.greatest(F.col(weight), F.lit(0.0)))).first()[0] or 0.0
+
+
+def checked_count(df: DataFrame, value: str, ceiling: float) -> int:
+    """The number of rows; raises if a value proves that the graph has a cycle."""
+    count, top = df.agg(F.count(F.lit(1)), F.max(value)).first()
+    if top is not None and top > ceiling * (1 + ROUNDING):
+        raise RuntimeError("a chain outweighs all trips together: the graph has a cycle")
+    return count
 
 
 def rise(

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triploom.sources.checkpoints import cut_lineage
+
 HOT_ROWS = 50_000
 BROADCAST_KEYS = 100_000
 
@@ -39,8 +41,9 @@ def split_hot_keys(
     found = hot.limit(BROADCAST_KEYS + 1).count()
     if found == 0:
         return rows, lambda other: other, keys
-    if found <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
+    # Beyond that the hot keys are written out: Spark splits the skew of a join with a
+    # stored table by itself.
+    hot = F.broadcast(hot) if found <= BROADCAST_KEYS else cut_lineage(hot)
     parts = F.col("parts")
     unsplit = F.array(F.lit(0))
 

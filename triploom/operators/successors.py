@@ -26,13 +26,15 @@ def trip_table(
 ) -> DataFrame:
     """``(id, pu, do, pickup, dropoff, distance)`` with times in microseconds.
 
-    ``invalid_trips="isolate"`` takes the places away from trips that do not end at or
-    after their start; they could otherwise follow themselves. ``"keep"`` leaves them.
+    ``invalid_trips="isolate"`` takes the places away from trips that end before their
+    start; they could otherwise follow themselves. ``"keep"`` leaves them. A trip with an
+    unknown time keeps its places: it is linked by the time that is known.
     """
     if invalid_trips not in ("isolate", "keep"):
         raise ValueError(f"unknown invalid_trips {invalid_trips!r}")
     pickup, dropoff = epoch_micros(cols.pickup_time), epoch_micros(cols.dropoff_time)
-    linked = F.lit(True) if invalid_trips == "keep" else dropoff >= pickup
+    in_order = F.coalesce(dropoff >= pickup, F.lit(True))
+    linked = F.lit(True) if invalid_trips == "keep" else in_order
     return trips.select(
         F.col(cols.trip_id).cast("long").alias("id"),
         F.when(linked, F.col(cols.pickup_location)).alias("pu"),

@@ -19,9 +19,10 @@ from triploom.operators.chains import chosen_weight
 from triploom.operators.relaxation import (
     BROADCAST_ROWS,
     COMPACT_EVERY,
-    MAX_ROUNDS,
+    checked_count,
     hinted,
     latest,
+    positive_total,
     relax,
     rise,
 )
@@ -46,17 +47,17 @@ def trip_chains(
     weight: str = "distance",
     invalid_trips: str = "isolate",
     strategy: str = "blocked",
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
     block_rows: int = BLOCK_ROWS,
     wave: int | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     cols: TripColumns = TRIP_COLUMNS,
 ) -> DataFrame:
-    """``(tripID, longestDistance, previousTripID)`` for every trip with a distance.
+    """``(tripID, longestDistance, previousTripID)`` for every trip.
 
     The same result as ``longest_chains`` over ``successor_edges``: one row per trip,
-    ties between predecessors go to the smallest id.
+    a NULL distance weighs 0.0, ties between predecessors go to the smallest id.
 
     ``strategy="frontier"`` moves all chains on by one trip per round.
     ``strategy="blocked"`` moves them on inside slabs of time, each of which a task can
@@ -66,9 +67,8 @@ def trip_chains(
     if strategy not in ("blocked", "frontier"):
         raise ValueError(f"unknown strategy {strategy!r}; use 'blocked' or 'frontier'")
     width = idle_window(max_idle_s)
-    known = trips.filter(F.col(cols.distance).isNotNull())
     table = cut_lineage(
-        trip_table(known, invalid_trips, cols).select(
+        trip_table(trips, invalid_trips, cols).select(
             "id",
             F.col("pu").alias("place"),
             F.col("pickup").alias("time"),
@@ -86,11 +86,14 @@ def trip_chains(
     )
     # trips without a pickup point inherit nothing, but may be the start of a chain
     unplaced = _arrivals(loose.withColumn("cum", F.lit(0.0)), F.max(_reach()))
+    ceiling = positive_total(table)
     if strategy == "frontier":
-        sums = _frontier_sums(legs, unplaced, width, max_rounds, hot_rows, broadcast_rows)
+        sums = _frontier_sums(
+            legs, unplaced, width, ceiling, max_rounds, hot_rows, broadcast_rows
+        )
     else:
         sums = _blocked_sums(
-            legs, unplaced, width, max_rounds, block_rows, hot_rows, broadcast_rows, wave
+            legs, unplaced, width, ceiling, max_rounds, block_rows, hot_rows, broadcast_rows, wave
         )
 
     starts, spread, keys = split_hot_keys(starts, POINT, "id", hot_rows=hot_rows)
@@ -119,7 +122,8 @@ def _frontier_sums(
     legs: DataFrame,
     unplaced: DataFrame,
     width: int,
-    max_rounds: int,
+    ceiling: float,
+    max_rounds: int | None,
     hot_rows: int,
     broadcast_rows: int,
 ) -> DataFrame:
@@ -129,20 +133,26 @@ def _frontier_sums(
     points = cut_lineage(legs.select(*POINT).distinct())
 
     def propose(frontier: DataFrame, small: bool) -> DataFrame:
-        sent = legs.join(hinted(spread(frontier), small), keys)
-        return _best_arrival(points, _arrivals(sent, F.max(_reach())), width, small)
+        ready = spread(frontier)
+        fits = small and (
+            ready is frontier or ready.limit(broadcast_rows + 1).count() <= broadcast_rows
+        )
+        sent = legs.join(hinted(ready, fits), keys)
+        # a point may send many arrivals, which are not counted: no hint for them
+        return _best_arrival(points, _arrivals(sent, F.max(_reach())), width, small=False)
 
     sent = _arrivals(legs.withColumn("cum", F.lit(0.0)), F.max(_reach()))
     first = sent.unionAll(unplaced).groupBy(*POINT).agg(F.max("value").alias("value"))
     first = _best_arrival(points, first, width, small=False)
-    return relax(first, POINT, propose, max_rounds, broadcast_rows)
+    return relax(first, POINT, propose, ceiling, max_rounds, broadcast_rows)
 
 
 def _blocked_sums(
     legs: DataFrame,
     unplaced: DataFrame,
     width: int,
-    max_rounds: int,
+    ceiling: float,
+    max_rounds: int | None,
     block_rows: int,
     hot_rows: int,
     broadcast_rows: int,
@@ -173,16 +183,19 @@ def _blocked_sums(
     waiting = nothing
     raised: list[DataFrame] = []
     total = 0
-    for _ in range(max_rounds):
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         told = cut_lineage(rows.groupBy("slab", "salt").applyInPandas(settle, news))
         raised.append(told.filter("settled").select(*POINT, F.col("value").alias("cum")))
         sent = told.filter("not settled").select(*POINT, "value")
-        if len(raised) == 1:
+        if rounds == 1:
             sent = sent.unionAll(unplaced)
-        count = told.count()
-        total += count
-        sent = sent.groupBy(*POINT).agg(F.max("value").alias("value"))
-        offers = _best_arrival(points, sent, width, count <= broadcast_rows)
+        total += checked_count(told, "value", ceiling)
+        sent = cut_lineage(sent.groupBy(*POINT).agg(F.max("value").alias("value")))
+        # each arrival stands in two slots
+        fits = 2 * sent.count() <= broadcast_rows
+        offers = _best_arrival(points, sent, width, fits)
         frontier = rise(offers, raised, POINT, total, broadcast_rows)
         total += frontier.count()
 
@@ -204,16 +217,20 @@ def _blocked_sums(
             .groupBy(*POINT)
             .agg(F.max("cum").alias("cum"), F.max("fresh").alias("fresh"))
         )
+        ready = spread(known)
+        fits = total <= broadcast_rows and (
+            ready is known or ready.limit(broadcast_rows + 1).count() <= broadcast_rows
+        )
         rows = (
             legs.join(woken, "slab", "left_semi")
-            .join(hinted(spread(known), total <= broadcast_rows), keys, "left")
+            .join(hinted(ready, fits), keys, "left")
             .na.fill(0.0, ["cum"])
             .na.fill(False, ["fresh"])
         )
         raised.append(frontier)
         if len(raised) > COMPACT_EVERY:
             raised = [cut_lineage(latest(raised, POINT))]
-    raise RuntimeError(f"chains still grow after {max_rounds} rounds; is there a cycle?")
+    raise RuntimeError(f"chains still grow after max_rounds={max_rounds}")
 
 
 def _reach() -> Column:

@@ -83,8 +83,8 @@ EDGES = (
     "AND a.tpep_dropoff_datetime < b.tpep_pickup_datetime "
     "AND date_diff('second', date_trunc('second', a.tpep_dropoff_datetime), "
     f"date_trunc('second', b.tpep_pickup_datetime)) < {EVENT_MAX_IDLE_S} "
-    "AND a.tpep_dropoff_datetime >= a.tpep_pickup_datetime "
-    "AND b.tpep_dropoff_datetime >= b.tpep_pickup_datetime)"
+    "AND coalesce(a.tpep_dropoff_datetime >= a.tpep_pickup_datetime, true) "
+    "AND coalesce(b.tpep_dropoff_datetime >= b.tpep_pickup_datetime, true))"
 )
 
 
@@ -165,6 +165,7 @@ ORACLES: dict[str, str] = {
     "max_pair_total": f"{WITH_TOTALS} SELECT max(total_amount) AS max_total_amount FROM totals",
     "neighbour_totals_d1": _neighbours(1),
     "neighbour_totals_d2": _neighbours(2),
+    "neighbour_totals_d15": _neighbours(15),
     "top_neighbour_totals": (
         f"SELECT * FROM ({_neighbours(1)}) "
         f"ORDER BY cumulated_total_amount DESC, {PAIR} LIMIT 10"
@@ -180,17 +181,17 @@ ORACLES: dict[str, str] = {
     ),
     "successor_edges": f"WITH {EDGES} SELECT src, dst FROM edges",
     "graph_vertices": (
-        f"WITH {EDGES}, ids AS (SELECT tripId AS id FROM trips WHERE trip_distance > 100 "
+        f"WITH {EDGES}, ids AS (SELECT tripId AS id FROM trips WHERE trip_distance IS NOT NULL "
         "UNION SELECT src FROM edges UNION SELECT dst FROM edges) "
-        "SELECT id, CASE WHEN trip_distance > 100 THEN trip_distance ELSE 0.0::DOUBLE END "
+        "SELECT id, coalesce(trip_distance, 0.0::DOUBLE) "
         "AS weight FROM ids JOIN trips ON id = tripId"
     ),
-    "chains_distance": f"{_chains('trip_distance')} {ALL_CHAINS}",
+    "chains_distance": f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} {ALL_CHAINS}",
     "chains_trips": f"{_chains('1.0::DOUBLE')} {ALL_CHAINS}",
-    "trip_chains_distance": f"{_chains('trip_distance')} {ALL_CHAINS}",
+    "trip_chains_distance": f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} {ALL_CHAINS}",
     "trip_chains_trips": f"{_chains('1.0::DOUBLE')} {ALL_CHAINS}",
     "chain_path": (
-        f"{_chains('trip_distance')}, ends AS (SELECT tripID, row_number() OVER "
+        f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')}, ends AS (SELECT tripID, row_number() OVER "
         "(ORDER BY longestDistance DESC, tripID) AS chain FROM chains "
         "ORDER BY chain LIMIT 3), "
         "walk(chain, trip, path, done) AS (SELECT chain, tripID, CAST(tripID AS VARCHAR), "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -44,12 +45,19 @@ class PipelineParams:
     depth: int = 1
 
     @property
-    def feature_count(self) -> int:
-        return len(feature_columns(self.features))
+    def feature_names(self) -> tuple[str, ...]:
+        return tuple(feature_columns(self.features))
+
+    @property
+    def _prepared(self) -> str:
+        """Names the input and the features, so that no stage reads another run's files."""
+        source = [self.trips_path, self.trips_format, self.infer_schema, self.id_col]
+        digest = hashlib.sha256(repr(source).encode()).hexdigest()[:8]
+        return "-".join([*self.feature_names, digest])
 
     @property
     def enriched_path(self) -> str:
-        return f"{self.base_dir}/enriched_f_{self.feature_count}.parquet"
+        return f"{self.base_dir}/enriched_{self._prepared}.parquet"
 
     @property
     def model_path(self) -> str:
@@ -65,7 +73,8 @@ class PipelineParams:
 
     @property
     def _suffix(self) -> str:
-        return f"c_{self.contamination}_f_{self.feature_count}"
+        trained = f"t{self.num_trees}_m{self.max_samples}_s{self.seed}_c{self.contamination}"
+        return f"{self._prepared}_{trained}"
 
 
 def run_pipeline(

@@ -214,9 +214,9 @@ def _event_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A graph whose vertex table lacks the trips of up to 100 miles."""
-    far = event_trips(spark, sf_dir).filter("trip_distance > 100")
-    return assemble_graph(trip_vertices(far), _event_edges(spark, sf_dir))
+    """A graph whose vertex table lacks the trips without a distance; edges name some."""
+    known = event_trips(spark, sf_dir).filter("trip_distance is not null")
+    return assemble_graph(trip_vertices(known), _event_edges(spark, sf_dir))
 
 
 def graph_chains(weight: str) -> Query:
@@ -261,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "max_pair_total": max_pair_total,
     "neighbour_totals_d1": neighbour_totals_depth(1),
     "neighbour_totals_d2": neighbour_totals_depth(2),
+    "neighbour_totals_d15": neighbour_totals_depth(15),
     "top_neighbour_totals": top_neighbour_totals,
     "threshold_labels": threshold_labels,
     "outlier_count": outlier_count,

@@ -67,11 +67,14 @@ LOCATIONS_SQL = (
 )
 
 EVENT_TRIPS_SQL = (
-    "SELECT event_id AS tripId, ts AS tpep_pickup_datetime, "
-    "ts + to_seconds(60 + (event_id * 37) % 1200) AS tpep_dropoff_datetime, "
+    "SELECT event_id AS tripId, "
+    "CASE WHEN event_id % 89 <> 3 THEN ts END AS tpep_pickup_datetime, "
+    "CASE WHEN event_id % 83 <> 7 THEN ts + to_seconds("
+    "CASE WHEN event_id % 101 = 11 THEN -60 ELSE 60 + (event_id * 37) % 1200 END) END "
+    "AS tpep_dropoff_datetime, "
     "user_id AS PULocationID, "
     "(user_id + event_id * 13) % (SELECT max(user_id) + 1 FROM events) AS DOLocationID, "
-    "value AS trip_distance FROM events"
+    "CASE WHEN event_id % 97 <> 5 THEN value END AS trip_distance FROM events"
 )
 
 
@@ -104,17 +107,20 @@ def order_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as trips that start at their user's id."""
+    """Events as trips that start at their user's id.
+
+    Some lack a distance or a time, and some end before they start.
+    """
     events = table(spark, sf_dir, "events")
-    places = events.agg(F.max("user_id")).first()[0] + 1
-    seconds = 60 + F.col("event_id") * 37 % 1200
+    places = events.agg(F.max("user_id") + 1).scalar()
+    number = F.col("event_id")
+    seconds = F.when(number % 101 == 11, -60).otherwise(60 + number * 37 % 1200)
+    dropoff = F.timestamp_micros(F.unix_micros("ts") + seconds * 1_000_000)
     return events.select(
         F.col("event_id").alias("tripId"),
-        F.col("ts").alias("tpep_pickup_datetime"),
-        F.timestamp_micros(F.unix_micros("ts") + seconds * 1_000_000).alias(
-            "tpep_dropoff_datetime"
-        ),
+        F.when(number % 89 != 3, F.col("ts")).alias("tpep_pickup_datetime"),
+        F.when(number % 83 != 7, dropoff).alias("tpep_dropoff_datetime"),
         F.col("user_id").alias("PULocationID"),
         ((F.col("user_id") + F.col("event_id") * 13) % places).alias("DOLocationID"),
-        F.col("value").alias("trip_distance"),
+        F.when(number % 97 != 5, F.col("value")).alias("trip_distance"),
     )

@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's checkpoint folder; make one only for local sessions.
-
-    On a cluster the folder must be shared storage, so a missing setting is an
-    error there and never replaced by a machine-local folder.
-    """
+    """Use ``spark.checkpoint.dir``; where it is unset, a folder of the shared warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="triploom-checkpoint-")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
     context.setCheckpointDir(folder)
 
 

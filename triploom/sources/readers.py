@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 from triploom.schema import LOCATIONS_SCHEMA, TRIPS_SCHEMA
 
@@ -17,14 +17,35 @@ def _read(
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}; use 'csv' or 'parquet'")
     reader = spark.read.option("header", True).option("sep", ",")
-    reader = reader.option("inferSchema", True) if infer else reader.schema(schema)
-    return reader.csv(path)
+    if infer:
+        return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    found = {name.lstrip("\ufeff").strip(): name for name in text.columns}
+    if missing := [name for name in schema.names if name not in found]:
+        raise ValueError(f"{path} has no columns {missing}; it has {sorted(found)}")
+    return text.select(*(_typed(f"`{found[f.name]}`", f) for f in schema.fields))
+
+
+def _typed(source: str, field: StructField) -> Column:
+    """The text column in the field's type; a value that doesn't fit it fails the query."""
+    text = F.col(source)
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, IntegralType):  # whole numbers may be written as 1.0
+        whole = text.try_cast("double")
+        value = F.coalesce(value, F.when(whole == F.floor(whole), whole.try_cast(field.dataType)))
+    message = F.concat(F.lit(f"{field.name} is not a {field.dataType.simpleString()}: "), text)
+    malformed = text.isNotNull() & value.isNull()
+    return F.when(malformed, F.raise_error(message)).otherwise(value).alias(field.name)
 
 
 def read_trips(
     spark: SparkSession, path: str, fmt: str = "csv", infer: bool = False
 ) -> DataFrame:
-    """Trips table. The fixed schema saves the extra scan that inference needs."""
+    """Trips table. CSV columns are found by their header names; others are left out.
+
+    The fixed schema saves the extra scan that inference needs. A missing column raises,
+    and so does, when the rows are read, a value that is not of the column's type.
+    """
     return _read(spark, path, TRIPS_SCHEMA, fmt, infer)
 
 
