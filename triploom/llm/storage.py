@@ -6,6 +6,7 @@ import uuid
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 << 20
 
@@ -38,3 +39,8 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
 def small(df: DataFrame, row_bytes: int) -> bool:
     """Whether ``df``, counted, is surely below the size that may be broadcast."""
     return df.limit(BROADCAST_BYTES // row_bytes + 1).count() <= BROADCAST_BYTES // row_bytes
+
+
+def only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join by doc_id; ``docs`` isn't shuffled if the ids surely fit a broadcast."""
+    return docs.join(F.broadcast(ids) if small(ids, 32) else ids, "doc_id", how)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triploom.llm.storage import small, stored
+from triploom.llm.storage import only, stored
 
 LENGTH = 50
 BLOCK = 26
@@ -183,11 +183,6 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join by doc_id; no text is shuffled if the ids surely fit a broadcast."""
-    return docs.join(F.broadcast(ids) if small(ids, 32) else ids, "doc_id", how)
-
-
 def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
     """The passages of ``length`` words or more that also occur in another document.
 
@@ -205,9 +200,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     digests = stored(docs.mapInArrow(_digests, "doc_id long, digest binary, n_words int").filter(F.col("n_words") >= length), "digests")
     alike = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     copies = stored(digests.join(alike, "digest").distinct(), "copies")
-    docs = _only(docs, stored(copies.filter("doc_id > first").select("doc_id").distinct(), "later-copies"), "left_anti")
+    docs = only(docs, stored(copies.filter("doc_id > first").select("doc_id").distinct(), "later-copies"), "left_anti")
     matches = stored(matched_suffixes(docs, length, block).groupBy("doc_id").agg(F.collect_list("at").alias("at")), "matches")
-    rows = _only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
+    rows = only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
     windows = rows.mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
     holders = windows.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
     found = windows.join(holders, ["one", "two"]).select("doc_id", "start", F.when(F.col("_low") < F.col("doc_id"), F.col("_low")).otherwise(F.col("_high")).alias("_other"))
