@@ -153,13 +153,12 @@ windows AS (
     FROM (SELECT *, unnest(range(len(words) - 49)) AS start FROM docs WHERE len(words) >= 50)
 ),
 found AS (
-    SELECT DISTINCT doc_id, start, CASE WHEN low < doc_id THEN low ELSE high END AS other
-    FROM windows JOIN (SELECT content, min(doc_id) AS low, max(doc_id) AS high FROM windows GROUP BY content) USING (content)
-    WHERE low < high
+    SELECT DISTINCT doc_id, start
+    FROM windows JOIN (SELECT content FROM windows GROUP BY content HAVING min(doc_id) < max(doc_id)) USING (content)
 ),
 marked AS (SELECT *, coalesce((start > lag(start) OVER w + 50)::INTEGER, 1) AS fresh FROM found WINDOW w AS (PARTITION BY doc_id ORDER BY start)),
 numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS passage FROM marked)
-SELECT doc_id, min(start)::INTEGER AS start_word, (max(start) - min(start) + 50)::INTEGER AS n_words, min(other) AS also_in
+SELECT doc_id, min(start)::INTEGER AS start_word, (max(start) - min(start) + 50)::INTEGER AS n_words
 FROM numbered GROUP BY doc_id, passage
 """,
 }

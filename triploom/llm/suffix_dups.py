@@ -187,9 +187,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     """The passages of ``length`` words or more that also occur in another document.
 
     Words are what stands between ASCII white space. The result has a row per passage:
-    ``doc_id``, ``start_word`` (from 0), ``n_words`` and ``also_in``, the smallest other
-    doc_id that a window of it occurs in. A passage is a run of windows of ``length`` words,
-    each of which occurs elsewhere, that overlap or touch. Shorter, empty and NULL texts
+    ``doc_id``, ``start_word`` (from 0) and ``n_words``. A passage is a run of windows of
+    ``length`` words, each of which occurs elsewhere, that overlap or touch. Shorter, empty and NULL texts
     have none. Rows without a doc_id are left out, and rows that share one are one
     document. No limit is set on the number of copies.
 
@@ -205,15 +204,10 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     rows = only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
     windows = rows.mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
     holders = windows.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
-    found = windows.join(holders, ["one", "two"]).select("doc_id", "start", F.when(F.col("_low") < F.col("doc_id"), F.col("_low")).otherwise(F.col("_high")).alias("_other"))
-    found = stored(found, "found").distinct()
+    found = stored(windows.join(holders, ["one", "two"]).select("doc_id", "start"), "found").distinct()
     order = Window.partitionBy("doc_id").orderBy("start")
     fresh = F.coalesce((F.col("start") > F.lag("start").over(order) + length).cast("int"), F.lit(1))
     passages = found.withColumn("_new", fresh).withColumn("_passage", F.sum("_new").over(order))
-    passages = passages.groupBy("doc_id", "_passage").agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words"), F.min("_other").alias("also_in")).drop("_passage")
+    passages = passages.groupBy("doc_id", "_passage").agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words")).drop("_passage")
     single = passages.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
-    second = copies.filter("doc_id > first").groupBy("digest").agg(F.min("doc_id").alias("_second"))
-    beyond = passages.groupBy(F.col("doc_id").alias("first")).agg(F.min("also_in").alias("_beyond"))
-    whole = copies.join(second, "digest").join(beyond, "first", "left")
-    other = F.least(F.when(F.col("doc_id") == F.col("first"), F.col("_second")).otherwise(F.col("first")), "_beyond")
-    return single.unionByName(whole.select("doc_id", F.lit(0).alias("start_word"), "n_words", other.alias("also_in")))
+    return single.unionByName(copies.select("doc_id", F.lit(0).alias("start_word"), "n_words"))
