@@ -204,6 +204,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     rows = only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
     windows = rows.mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
     holders = windows.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
+    # Written out, so that Spark can split the join at a window that many documents share.
+    holders = stored(holders.select("one", "two"), "holders")
     found = stored(windows.join(holders, ["one", "two"]).select("doc_id", "start"), "found").distinct()
     order = Window.partitionBy("doc_id").orderBy("start")
     fresh = F.coalesce((F.col("start") > F.lag("start").over(order) + length).cast("int"), F.lit(1))
