@@ -30,6 +30,7 @@ from triploom.operators.quantile import (
     outliers,
 )
 from triploom.operators.ranking import (
+    numbered,
     ranked,
     top_k,
     top_locations,
@@ -60,6 +61,7 @@ __all__ = [
     "pair_totals",
     "positive_average",
     "prepare",
+    "numbered",
     "ranked",
     "rows_with_nulls",
     "scale_features",

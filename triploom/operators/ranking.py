@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from triploom.operators.profile import count_by
 from triploom.schema import TRIP_COLUMNS, TripColumns
+from triploom.sources.checkpoints import cut_lineage
 
 
 def ranked(df: DataFrame, by: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -16,6 +17,26 @@ def ranked(df: DataFrame, by: str, ties: Sequence[str] = ()) -> DataFrame:
     return df.orderBy(F.desc(by), *(F.asc(c) for c in ties))
 
 
+def numbered(df: DataFrame, by: str, ties: Sequence[str] = (), rank: str = "rank") -> DataFrame:
+    """The rows with their place, from 1, in the order of :func:`ranked`.
+
+    The rows are sorted by ranges, and a partition only needs the number of rows in those
+    before it; no task sees the whole table. ``ties`` should settle all ties.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc(by), *(F.asc(c) for c in ties)]
+    placed = cut_lineage(
+        df.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # partitions
+    sizes = placed.groupBy("_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    starts = sizes.select("_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    place = (F.col("_at") + F.col("_start") + 1).alias(rank)
+    return placed.join(F.broadcast(starts), "_part").select(*df.columns, place)
+
+
 def top_k(df: DataFrame, by: str, k: int = 10, ties: Sequence[str] = ()) -> DataFrame:
     """The first ``k`` rows of :func:`ranked`.
 

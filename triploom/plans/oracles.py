@@ -158,6 +158,10 @@ ORACLES: dict[str, str] = {
         "AS scaled_distance FROM enriched"
     ),
     "pair_totals": f"{WITH_TOTALS} SELECT * FROM totals",
+    "ranked_pair_totals": (
+        f"{WITH_TOTALS} SELECT *, row_number() OVER (ORDER BY total_amount DESC NULLS LAST, "
+        f"{PAIR}) AS rank FROM totals"
+    ),
     "pair_totals_struct": f"{WITH_TOTALS} SELECT * FROM totals",
     "top_pair_totals": (
         f"{WITH_TOTALS} SELECT * FROM totals ORDER BY total_amount DESC, {PAIR} LIMIT 10"
@@ -188,6 +192,10 @@ ORACLES: dict[str, str] = {
     ),
     "chains_distance": f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} {ALL_CHAINS}",
     "chains_trips": f"{_chains('1.0::DOUBLE')} {ALL_CHAINS}",
+    "ranked_chains": (
+        f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} SELECT *, row_number() OVER "
+        "(ORDER BY longestDistance DESC, tripID) AS rank FROM chains"
+    ),
     "trip_chains_distance": f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} {ALL_CHAINS}",
     "trip_chains_trips": f"{_chains('1.0::DOUBLE')} {ALL_CHAINS}",
     "chain_path": (

@@ -21,6 +21,7 @@ from triploom.operators import (
     label_by_contamination,
     longest_chains,
     neighbour_totals,
+    numbered,
     outliers,
     pair_totals,
     positive_average,
@@ -234,6 +235,14 @@ def direct_chains(weight: str) -> Query:
     return query
 
 
+def ranked_pair_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered(pair_totals_columns(spark, sf_dir), "total_amount", PAIR)
+
+
+def ranked_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered(direct_chains("distance")(spark, sf_dir), "longestDistance", ["tripID"])
+
+
 def chain_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     chains = cut_lineage(direct_chains("distance")(spark, sf_dir))
     return chain_text(chain_paths(chains, k=3))
@@ -274,5 +283,7 @@ QUERIES: dict[str, Query] = {
     "chains_trips": graph_chains("count"),
     "trip_chains_distance": direct_chains("distance"),
     "trip_chains_trips": direct_chains("count"),
+    "ranked_pair_totals": ranked_pair_totals,
+    "ranked_chains": ranked_chains,
     "chain_path": chain_path,
 }
