@@ -307,6 +307,7 @@ def test_piece_encoder_equals_library(spark):
     texts += [t or "" for _, t in odd_texts()] + [" ", "  ", "a ", " a", "a  b", "a \n b", "x​ y", "it's 12 o'clock , ok ...", "\x1c a \x1f b", "tab\t here", "a\u0085 b"]
     for seed in range(400):
         rng = random.Random(seed)
+        texts.append("".join(rng.choices(["bc", ".", ",", "'", "''", "..", "&&&", "d.", "e2", "3.", "ñ!", "ǅ", "-", "'ll", " f", "<|", "endoftext", "|>", "\n", " "], k=14)))
         texts.append("".join(rng.choices(["a", "B", " ", "  ", "\n", ".", "'s", "é", "1", " ", "<|endoftext|>", "!", "\t", "漢", "　"], k=12)))
     got = encoder.encode(pa.array(texts))
     for text, ids in zip(texts, got, strict=True):
@@ -326,7 +327,7 @@ def test_code_lengths_are_optimal_within_limit(counts):
         heapq.heappush(heap, low)
     total = sum(c * x for c, x in zip(counts, lengths, strict=True))
     if len(counts) > 1:
-        assert total == cost if len(counts) != 20 else cost <= total <= cost * 1.01
+        assert total == cost if max(lengths) < huffman.LONGEST else cost <= total <= cost * 1.01
 
 
 def test_blocks_decode_independently():

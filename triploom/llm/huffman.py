@@ -28,8 +28,10 @@ from triploom.llm.storage import open_folder, shared_folder, stored
 MAGIC = b"TLHUF1\0\0"
 LONGEST = 16
 BLOCK_IDS = 256
-CACHE_PIECES = 800_000
-TEXT_AT_ONCE = 8 << 20
+CACHE_PIECES = 600_000
+TEXT_AT_ONCE = 24 << 20
+MARKS = ("\n", ".", ",")
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 TOGETHER = 2_000
 IDS_AT_ONCE = 1 << 20
 ROLL_BYTES = 64 << 20
@@ -45,10 +47,11 @@ class PieceEncoder:
     """Whole texts to ids with the library, which sees each distinct piece about once.
 
     A byte-level tokenizer never lets an id cross from a character that is no white space
-    to a single space or line break before another such character. So a text is cut there,
-    and the ids of its pieces are joined; Arrow finds the distinct pieces of many texts.
-    New ones go to the library as one text; the ids that start with the space or break
-    begin the pieces. Texts with any other white space there are encoded as they are.
+    to a single space or line break before another such character, nor from a letter or
+    digit to punctuation. So a text is cut at these places, the ids of its pieces are
+    joined, and Arrow finds the distinct pieces of many texts. New ones go to the library
+    as one text; the ids that start with the space or break begin the pieces. Texts with
+    other white space or punctuation at a cut are encoded as they are.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,44 +60,87 @@ class PieceEncoder:
         self.width = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
         self._spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self._spaced[[i for token, i in vocabulary.items() if token[0] in "ĠĊ"]] = True
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes | None] = {}
+        self._older: dict[str, bytes | None] = {}
+        self._tails: dict[str, bytes] = {}
         self._first: dict[str, bytes | None] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.width).tobytes() for e in found]
 
+    def _cut_tail(self, piece: str) -> str:
+        """The piece without closing punctuation, if a letter comes before that.
+
+        Punctuation after a letter is a unit of its own to a byte-level tokenizer.
+        """
+        core = piece.rstrip(TAIL)
+        cut = core != piece and core[-1:].isalpha() and not any(x in piece for x in self._special)
+        return core if cut else piece
+
     def _learn(self, pieces: set[str]) -> None:
-        plain = []
+        """Find the ids of new pieces; those of the generation before are kept."""
+        known, plain, ended, odd = self._known, set(), [], []
         for piece in pieces:
+            if piece in self._older:
+                known[piece] = self._older[piece]
+                continue
             inner = piece[1:] if piece[:1] == "\n" else piece
             if not inner or inner[0].isspace() or inner[-1].isspace():
-                self._known[piece] = None
-            else:
-                plain.append(piece if inner is not piece else " " + piece)
+                known[piece] = None
+                continue
+            if piece[0] in ".,":
+                odd.append(piece)
+                continue
+            core = self._cut_tail(piece)
+            if core is not piece:
+                ended.append((piece, core))
+                if core in known or core in pieces:
+                    continue
+                if core in self._older:
+                    known[core] = self._older[core]
+                    continue
+            plain.add(core)
+        known.update(zip(odd, self.whole(odd), strict=True))
+        self._encode_new([p if p[0] == "\n" else " " + p for p in plain])
+        for piece, core in ended:
+            tail = piece[len(core) :]
+            if tail not in self._tails:
+                self._tails[tail] = self.whole([tail])[0]
+            known[piece] = known[core] + self._tails[tail]
+
+    def _encode_new(self, plain: list[str]) -> None:
         size = np.dtype(self.width).itemsize
         for start in range(0, len(plain), TOGETHER):
             part = plain[start : start + TOGETHER]
             ids = np.array(self._tokenizer.encode("".join(part), add_special_tokens=False).ids, dtype=self.width)
             begins = np.flatnonzero(self._spaced[ids])
+            names = [p.removeprefix(" ") for p in part]
             if len(begins) != len(part):
-                self._known.update(zip((p.removeprefix(" ") for p in part), self.whole(part), strict=True))
+                self._known.update(zip(names, self.whole(part), strict=True))
                 continue
             raw, ends = ids.tobytes(), np.append(begins[1:], len(ids)) * size
-            for piece, a, b in zip(part, (begins * size).tolist(), ends.tolist(), strict=True):
-                self._known[piece.removeprefix(" ")] = raw[a:b]
+            self._known.update((p, raw[a:b]) for p, a, b in zip(names, (begins * size).tolist(), ends.tolist(), strict=True))
 
     def encode(self, texts: pa.StringArray) -> list[bytes]:
         """The ids of each text as packed integers of ``width``; no text may be NULL."""
         if len(self._known) > CACHE_PIECES:
-            self._known.clear()
+            self._older, self._known = self._known, {}
             self._first.clear()
+            self._tails.clear()
         if not len(texts):
             return []
-        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        parted = texts
+        for mark in MARKS:
+            parted = pc.replace_substring(parted, mark, " " + mark)
+        cut = pc.split_pattern(parted, " ")
         offsets = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         coded = cut.flatten().dictionary_encode()
         codes, pieces, known = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist(), self._known
+        stops = pc.match_substring_regex(coded.dictionary, r"^[.,]").to_numpy(zero_copy_only=False)
+        closed = pc.match_substring_regex(coded.dictionary, r"[\p{L}\p{N}]$").to_numpy(zero_copy_only=False)
+        joins = np.r_[False, stops[codes[1:]] & ~closed[codes[:-1]]]  # one run of punctuation
         self._learn({w for w in pieces if w not in known})
         heads = [pieces[c] for c in codes[offsets[:-1]]]
         new = list(set(heads).difference(self._first))
@@ -105,10 +151,11 @@ class PieceEncoder:
         alone = np.array([f is not None for f in found])
         sizes = np.array([len(f or b"") for f in found]) // np.dtype(self.width).itemsize
         ids = np.frombuffer(b"".join(f or b"" for f in found), self.width)
-        plain = np.logical_and.reduceat(alone[codes], offsets[:-1])
+        plain = np.logical_and.reduceat(alone[codes] & ~joins, offsets[:-1])
         taken = sizes[codes]
         ends = np.cumsum(taken)
-        at = np.repeat(np.cumsum(sizes)[codes] - ends, taken) + np.arange(ends[-1])
+        at = np.repeat((np.cumsum(sizes)[codes] - ends).astype(np.int32), taken)
+        at += np.arange(ends[-1], dtype=np.int32)
         joined = ids[at]
         bounds = np.r_[0, ends][offsets]
         out = [joined[x:y].tobytes() for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
