@@ -32,6 +32,9 @@ def main(argv: list[str] | None = None) -> None:
     pipeline.add_argument("--stages", nargs="+", default=ALL_STAGES, choices=ALL_STAGES)
     pipeline.add_argument("--features", default="speed")
     pipeline.add_argument("--contamination", type=float, default=0.001)
+    pipeline.add_argument("--id-col", help="unique trip id; row numbers if left out")
+    pipeline.add_argument("--num-trees", type=int, default=100)
+    pipeline.add_argument("--seed", type=int, default=1)
     pipeline.add_argument("--max-samples", type=int, default=256)
     pipeline.add_argument("--key", default="columns", choices=["columns", "struct"])
     pipeline.add_argument("--depth", type=int, default=1)
@@ -51,6 +54,9 @@ def main(argv: list[str] | None = None) -> None:
             base_dir=args.base_dir,
             trips_format=args.format,
             infer_schema=args.infer_schema,
+            id_col=args.id_col,
+            num_trees=args.num_trees,
+            seed=args.seed,
             features=args.features,
             contamination=args.contamination,
             max_samples=args.max_samples,

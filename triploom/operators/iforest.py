@@ -25,6 +25,7 @@ from triploom.operators.quantile import label_above, outlier_threshold
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EULER_GAMMA = 0.5772156649015329
+POOL_FACTOR = 4
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, "
     "size int, depth int"
@@ -66,7 +67,7 @@ def _grow_tree(tree: int, points: np.ndarray, max_depth: int, seed: int) -> pd.D
 
 
 def _draw_samples(
-    df: DataFrame, rows: int, num_trees: int, max_samples: int, seed: int
+    df: DataFrame, rows: int, num_trees: int, max_samples: int, seed: int, pool_factor: int
 ) -> DataFrame:
     """``max_samples`` rows per tree without replacement, chosen by hashed row id.
 
@@ -74,7 +75,7 @@ def _draw_samples(
     pool, not the table, is repeated per tree. A second hash leaves each tree about
     twice its sample, of which the lowest hashes are kept.
     """
-    pool_size = 4 * num_trees * max_samples
+    pool_size = pool_factor * num_trees * max_samples
     fraction = min(1.0, pool_size / max(rows, 1))
     pool = df.filter(_unit_hash(F.lit(seed), F.col("id")) < fraction)
     share = min(1.0, (2 * max_samples + 64) / max(min(rows, pool_size), 1))
@@ -106,9 +107,14 @@ def fit_isolation_forest(
     contamination: float = 0.001,
     seed: int = 1,
     exact_threshold: bool = True,
+    pool_factor: int = POOL_FACTOR,
 ) -> ForestModel:
     """Train on a vector column and set the threshold for the outlier share.
 
+    The trees draw their samples from a pool of ``pool_factor`` times the rows that all of
+    them need, itself drawn from the whole table; two trees then share rows about as often
+    as one in ``pool_factor * num_trees``, at any size above the pool.
+
     With a unique ``id_col`` the forest depends only on the data and the seed. Without
     one, row numbers from the file layout stand in.
     """
@@ -127,7 +133,7 @@ def fit_isolation_forest(
         x = np.stack(group["x"].to_numpy())
         return _grow_tree(int(group["tree"].iloc[0]), x, max_depth, seed)
 
-    samples = _draw_samples(points, rows, num_trees, max_samples, seed)
+    samples = _draw_samples(points, rows, num_trees, max_samples, seed, pool_factor)
     nodes = (
         samples.select("tree", "rank", "x")
         .groupBy("tree")

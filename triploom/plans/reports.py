@@ -28,7 +28,7 @@ def profile_report(
 ) -> dict[str, DataFrame]:
     """Profile of a trips table. Every entry is a query of its own over ``trips``, so
     persist the table first when all of them are wanted and it fits."""
-    pairs = count_by(trips, TRIP_COLUMNS.pair)
+    pairs = cut_lineage(count_by(trips, TRIP_COLUMNS.pair))  # read by two of the tables
     return {
         "summary": summarize(trips, SUMMARY_COLUMNS),
         "rows_with_nulls": rows_with_nulls(trips),
