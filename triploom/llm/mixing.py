@@ -19,9 +19,11 @@ from pyspark.sql import types as T
 from triploom.llm.linear import Linear, fit, sample_features
 from triploom.llm.storage import stored
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 16_000
 STEPS = 60
 CLOSE = 1e-6
+MOST_RATE = 8.0
+SCARCE = 0.01
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, list[str]]:
@@ -61,10 +63,10 @@ def with_posteriors(docs: DataFrame, model: Linear) -> DataFrame:
 
 
 def rates_of(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after ``steps``: from 1, each moves against its gradient and stays nonnegative."""
+    """The rates after ``steps``: from 1, each moves against its gradient, from 0 to ``MOST_RATE``."""
     rates = np.ones(len(posteriors))
     for step in steps:
-        rates = np.maximum(0, rates - posteriors @ step)
+        rates = np.clip(rates - posteriors @ step, 0, MOST_RATE)
     return rates
 
 
@@ -74,7 +76,7 @@ def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _totals(steps: list[np.ndarray]):
-    """Sums of rate x tokens x posterior; then of tokens x posterior x posterior where the rate isn't 0."""
+    """Sums of rate x tokens x posterior; then of tokens x posterior x posterior where the rate isn't at a bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
@@ -82,8 +84,9 @@ def _totals(steps: list[np.ndarray]):
             if batch.num_rows:
                 p, tokens = _posteriors(batch), batch.column("tokens").to_numpy()
                 rates = rates_of(p, steps)
-                free = p[rates > 0]
-                total = total + np.r_[(rates * tokens) @ p, ((free * tokens[rates > 0][:, None]).T @ free).ravel()]
+                inside = (rates > 0) & (rates < MOST_RATE)
+                free = p[inside]
+                total = total + np.r_[(rates * tokens) @ p, ((free * tokens[inside][:, None]).T @ free).ravel()]
         flat = np.ravel(total) if np.ndim(total) else np.zeros(0)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(len(flat))), "total": pa.array(flat)})
 
@@ -101,8 +104,8 @@ def fit_rates(members: DataFrame, targets: np.ndarray, most: int = STEPS) -> lis
     """The gradient steps that lead to rates whose expected totals meet ``targets``.
 
     The squared error is measured in the metric of the second moments of the posteriors of
-    documents with a rate above zero, so a step settles all totals at once unless rates meet
-    zero. Each step is one pass over ``tokens`` and ``posteriors`` that sums a number per
+    documents whose rate is between the bounds, so a step settles all totals at once unless
+    rates meet a bound. Each step is one pass over ``tokens`` and ``posteriors`` that sums a number per
     domain and pair of domains; the steps are all that the tasks need to know to work out
     any document's rate. Stops when all totals are within ``CLOSE`` of the targets.
     """
@@ -126,11 +129,22 @@ def _rater(steps: list[np.ndarray]):
     return run
 
 
+def targets_of(present: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Tokens wanted per domain: scarce domains as they are, the rest by weight."""
+    scarce = present < SCARCE * present.sum()
+    wanted = np.where(scarce, 0.0, weights)
+    if not wanted.sum():
+        return present.copy()
+    return np.where(scarce, present, present[~scarce].sum() * wanted / wanted.sum())
+
+
 def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[str, float], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``tokens``, ``posteriors``, ``rate`` and ``copies``.
 
-    ``weights`` are relative; a domain that it doesn't name gets 0, and one without
-    documents is ignored. The whole budget is the present number of tokens. ``copies``
+    ``weights`` are relative; a domain that it doesn't name gets 0. The whole budget is the
+    present number of tokens. A domain with under ``SCARCE`` of them keeps what it has: it
+    has hardly any members of its own, and the faint shares of others could only reach a
+    target at absurd rates. No document is repeated more than ``MOST_RATE`` times. ``copies``
     rounds the rate up or down with a chance given by its fraction and drawn from the hash
     of the doc_id, so the same input gives the same mix. NULL and empty texts weigh nothing
     but have a rate. Columns of the input with these names are replaced.
@@ -139,10 +153,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[st
     members = stored(with_posteriors(docs.drop("rate", "copies"), model), "posteriors")
     lean = members.select("tokens", "posteriors")
     present, _ = _summed(lean, [], len(names))
-    wanted = np.array([weights.get(n, 0.0) for n in names]) * (present > 0)
-    if names == ["all"] or not wanted.sum():
-        wanted = present.copy() if present.sum() else np.ones(len(names))
-    steps = fit_rates(lean, present.sum() * wanted / wanted.sum())
+    steps = fit_rates(lean, targets_of(present, np.array([weights.get(n, 0.0) for n in names])))
     rated = members.mapInArrow(_rater(steps), T.StructType([*members.schema.fields, T.StructField("rate", T.DoubleType())]))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("int"))
