@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triploom.llm import decontaminate, hnsw, huffman, mixing, packing, quality, simhash_dups, suffix_dups, token_cache, warc
-from triploom.llm.storage import shared_folder, stored
+from triploom.llm.storage import reach_workers, shared_folder, stored
 
 DOMAINS = "concat('quality', quality, ' toxic', toxic)"
 WEIGHTS = {"quality1 toxic0": 0.97, "quality1 toxic1": 0.01, "quality0 toxic0": 0.015, "quality0 toxic1": 0.005}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

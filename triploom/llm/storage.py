@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 << 20
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    That is enough where they share a disk; other clusters get it with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
