@@ -425,6 +425,17 @@ def test_best_fit_is_what_single_placing_gives():
         assert len(left) == len(room) and sorted(left.values()) == sorted(max(50, 0) - r if r >= 0 else 0 for r in room) or max(sizes) > 50
 
 
+def test_a_group_above_the_mean_leaves_the_rest_even():
+    sizes, counts = [5_000, 90, 40, 7], [1, 50, 60, 300]
+    capacity = packing.smallest_capacity(sizes, counts, 8)
+    filled = Counter()
+    for i, number, fit in packing.best_fit(sizes, counts, capacity):
+        filled[number] += fit * sizes[i]
+    assert len(filled) == 8
+    rest = [b for b in filled.values() if b < 5_000]
+    assert len(rest) == 7 and max(rest) - min(rest) <= 90
+
+
 def test_sharding_odd_input(spark):
     docs = odd_docs(spark)
     rows = packing.sharded(docs, 24).collect()

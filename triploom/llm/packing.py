@@ -67,17 +67,20 @@ class BinTree:
         return best
 
 
-def best_fit(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[int, int, int]]:
+def best_fit(sizes: list[int], counts: list[int], capacity: int, most: int | None = None) -> list[tuple[int, int, int]] | None:
     """Pack ``counts[i]`` groups of ``sizes[i]``, sizes falling: runs ``(i, bin, groups)``.
 
     Equal sizes are placed as one: the tightest bin that takes one of them takes as many as
     fit, which is what placing them singly gives. Groups above the capacity get own bins.
+    None if that takes more than ``most`` bins.
     """
     tree, runs, bins = BinTree(), [], 0
     for i, (size, count) in enumerate(zip(sizes, counts, strict=True)):
         while count:
             found = tree.take_tightest(size)
             if found is None:
+                if bins == most:
+                    return None
                 found, bins = (max(capacity, size), bins), bins + 1
             room, number = found
             fit = min(count, room // size) if size else count
@@ -88,20 +91,19 @@ def best_fit(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[i
 
 
 def smallest_capacity(sizes: list[int], counts: list[int], bins: int) -> int:
-    """The least capacity, to a thousandth, at which best fit needs at most ``bins`` bins."""
-    total = sum(s * c for s, c in zip(sizes, counts, strict=True))
-    low = max(-(-total // bins), max(sizes, default=0))
-    high = low + max(sizes, default=0)
-
-    def fits(capacity: int) -> bool:
-        return max((b for _, b, _ in best_fit(sizes, counts, capacity)), default=0) < bins
+    """The least capacity, to a thousandth, at which best fit needs at most ``bins`` bins.
 
-    while not fits(high):
-        high *= 2
+    It may lie below the largest groups: these then fill bins of their own, and the rest is
+    spread evenly over the others.
+    """
+    total = sum(s * c for s, c in zip(sizes, counts, strict=True))
+    low, high = 0, -(-total // bins) + max(sizes, default=0)
+    while best_fit(sizes, counts, high, bins) is None:
+        low, high = high, 2 * high
     while high - low > max(1, high // 1000):
         middle = (low + high) // 2
-        low, high = (low, middle) if fits(middle) else (middle, high)
-    return low if fits(low) else high
+        low, high = (middle, high) if best_fit(sizes, counts, middle, bins) is None else (low, middle)
+    return high
 
 
 def size_class(size: Column) -> Column:
