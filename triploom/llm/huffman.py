@@ -29,7 +29,7 @@ MAGIC = b"TLHUF1\0\0"
 LONGEST = 16
 BLOCK_IDS = 256
 CACHE_PIECES = 600_000
-TEXT_AT_ONCE = 24 << 20
+TEXT_AT_ONCE = 12 << 20
 MARKS = ("\n", ".", ",")
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 TOGETHER = 2_000
@@ -39,8 +39,8 @@ RANGES_PER_TASK = 2
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def _encoder(path: str, cached: int) -> PieceEncoder:
+    return PieceEncoder(path, cached)
 
 
 class PieceEncoder:
@@ -54,7 +54,8 @@ class PieceEncoder:
     other white space or punctuation at a cut are encoded as they are.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cached: int = CACHE_PIECES) -> None:
+        self._cached = cached
         self._tokenizer = Tokenizer.from_file(path)
         vocabulary = self._tokenizer.get_vocab()
         self.width = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
@@ -125,7 +126,7 @@ class PieceEncoder:
 
     def encode(self, texts: pa.StringArray) -> list[bytes]:
         """The ids of each text as packed integers of ``width``; no text may be NULL."""
-        if len(self._known) > CACHE_PIECES:
+        if len(self._known) > self._cached:
             self._older, self._known = self._known, {}
             self._first.clear()
             self._tails.clear()
@@ -174,9 +175,9 @@ def _pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (batch.slice(x, y - x) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if y > x)
 
 
-def _tokenise(path: str, end_id: int):
+def _tokenise(path: str, end_id: int, cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, cached)
         end = np.array([end_id], dtype=encoder.width).tobytes()
         for batch in batches:
             for part in _pieces_of(batch):
@@ -186,10 +187,13 @@ def _tokenise(path: str, end_id: int):
     return run
 
 
-def with_ids(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """``doc_id`` and ``ids``, the packed ids of the whole text and the end id."""
+def with_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, cached: int = CACHE_PIECES) -> DataFrame:
+    """``doc_id`` and ``ids``, the packed ids of the whole text and the end id.
+
+    A task remembers up to twice ``cached`` pieces, of about 200 bytes each.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_tokenise(tokenizer, end_id), "doc_id long, ids binary"), "ids")
+    return stored(rows.mapInArrow(_tokenise(tokenizer, end_id, cached), "doc_id long, ids binary"), "ids")
 
 
 def _count(width: str):
@@ -469,11 +473,11 @@ def read_files(manifest: DataFrame) -> DataFrame:
     return read.join(F.broadcast(offsets), "number").select("doc_id", (F.col("start") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, cached: int = CACHE_PIECES) -> DataFrame:
     """Tokenise ``docs``, write the ids to files in a new shared folder and read them back.
 
     Every row is written, repeated ones too; NULL and empty texts hold the end id alone.
     """
     width = PieceEncoder(tokenizer).width
-    ids = with_ids(docs, tokenizer)
+    ids = with_ids(docs, tokenizer, cached=cached)
     return read_files(write_files(ids, width, shared_folder(docs.sparkSession, "token-files")))

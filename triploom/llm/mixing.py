@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,23 +44,19 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, sample_rows: in
 
 
 def _classifier(model: Linear):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                texts = part.column("text").cast(pa.binary()).to_pylist()
-                found = [x.tolist() for x in model.posteriors(texts)]
-                tokens = [float(len((t or b"").split())) for t in texts]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tokens), pa.array(found, pa.list_(pa.float64()))], names=[*part.schema.names, "tokens", "posteriors"])
+    @F.pandas_udf("tokens double, posteriors array<double>")
+    def classify(texts: pd.Series) -> pd.DataFrame:
+        found = list(model.posteriors(texts.tolist()))
+        return pd.DataFrame({"tokens": [float(len((t or b"").split())) for t in texts], "posteriors": found})
 
-    return run
+    return classify
 
 
 def with_posteriors(docs: DataFrame, model: Linear) -> DataFrame:
     """``docs`` with ``tokens`` (words) and ``posteriors``; a NULL text has no words."""
     docs = docs.drop("tokens", "posteriors")
-    extra = [T.StructField("tokens", T.DoubleType()), T.StructField("posteriors", T.ArrayType(T.DoubleType()))]
-    return docs.mapInArrow(_classifier(model), T.StructType([*docs.schema.fields, *extra]))
+    found = docs.withColumn("_found", _classifier(model)(F.col("text").cast("binary")))
+    return found.select(*docs.columns, "_found.tokens", "_found.posteriors")
 
 
 def rates_of(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
@@ -121,12 +118,11 @@ def fit_rates(members: DataFrame, targets: np.ndarray, most: int = STEPS) -> lis
 
 
 def _rater(steps: list[np.ndarray]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rates = rates_of(_posteriors(batch), steps) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates)], names=[*batch.schema.names, "rate"])
+    @F.pandas_udf(T.DoubleType())
+    def rate(posteriors: pd.Series) -> pd.Series:
+        return pd.Series(rates_of(np.stack(posteriors.to_numpy()), steps) if len(posteriors) else [])
 
-    return run
+    return rate
 
 
 def targets_of(present: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -154,7 +150,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[st
     lean = members.select("tokens", "posteriors")
     present, _ = _summed(lean, [], len(names))
     steps = fit_rates(lean, targets_of(present, np.array([weights.get(n, 0.0) for n in names])))
-    rated = members.mapInArrow(_rater(steps), T.StructType([*members.schema.fields, T.StructField("rate", T.DoubleType())]))
+    rated = members.withColumn("rate", _rater(steps)("posteriors"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
     return rated.withColumn("copies", F.floor(F.col("rate") + draw).cast("int"))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,17 +131,13 @@ def fit_quality(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear
 
 
 def _scorer(model: Linear):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                texts = part.column("_bytes").to_pylist()
-                found = model.posteriors(texts)[:, 1]
-                found[[not (t or b"").strip() for t in texts]] = 0.0
-                kept = [c for c in part.schema.names if c != "_bytes"]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(found)], names=[*kept, "quality_score"])
+    @F.pandas_udf(T.DoubleType())
+    def score(texts: pd.Series) -> pd.Series:
+        found = model.posteriors(texts.tolist())[:, 1]
+        found[[not (t or b"").strip() for t in texts]] = 0.0
+        return pd.Series(found)
 
-    return run
+    return score
 
 
 def with_quality(docs: DataFrame, model: Linear) -> DataFrame:
@@ -150,9 +147,7 @@ def with_quality(docs: DataFrame, model: Linear) -> DataFrame:
     good from bad, all others score its share of good ones. Rows are kept as they are;
     a column of the input named ``quality_score`` is replaced.
     """
-    rows = docs.drop("quality_score").withColumn("_bytes", F.col("text").cast("binary"))
-    fields = [f for f in rows.schema.fields if f.name != "_bytes"]
-    return rows.mapInArrow(_scorer(model), T.StructType([*fields, T.StructField("quality_score", T.DoubleType())]))
+    return docs.withColumn("quality_score", _scorer(model)(F.col("text").cast("binary")))
 
 
 def accepted(docs: DataFrame, least: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
