@@ -175,7 +175,7 @@ def _pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return (batch.slice(x, y - x) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if y > x)
 
 
-def _tokenise(path: str, end_id: int, cached: int):
+def _tokenise(path: str, end_id: int, cached: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, cached)
         end = np.array([end_id], dtype=encoder.width).tobytes()
@@ -183,17 +183,21 @@ def _tokenise(path: str, end_id: int, cached: int):
             for part in _pieces_of(batch):
                 ids = [x + end for x in encoder.encode(pc.fill_null(part.column("text"), ""))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        if not keep:
+            _encoder.cache_clear()
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
-def with_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, cached: int = CACHE_PIECES) -> DataFrame:
+def with_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, cached: int = CACHE_PIECES, keep: bool = True) -> DataFrame:
     """``doc_id`` and ``ids``, the packed ids of the whole text and the end id.
 
-    A task remembers up to twice ``cached`` pieces, of about 200 bytes each.
+    A task remembers up to twice ``cached`` pieces, of about 200 bytes each, and with ``keep`` leaves
+    them to the next task of its worker.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_tokenise(tokenizer, end_id, cached), "doc_id long, ids binary"), "ids")
+    return stored(rows.mapInArrow(_tokenise(tokenizer, end_id, cached, keep), "doc_id long, ids binary"), "ids")
 
 
 def _count(width: str):
@@ -473,11 +477,11 @@ def read_files(manifest: DataFrame) -> DataFrame:
     return read.join(F.broadcast(offsets), "number").select("doc_id", (F.col("start") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, cached: int = CACHE_PIECES) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, cached: int = CACHE_PIECES, keep: bool = True) -> DataFrame:
     """Tokenise ``docs``, write the ids to files in a new shared folder and read them back.
 
     Every row is written, repeated ones too; NULL and empty texts hold the end id alone.
     """
     width = PieceEncoder(tokenizer).width
-    ids = with_ids(docs, tokenizer, cached=cached)
+    ids = with_ids(docs, tokenizer, cached=cached, keep=keep)
     return read_files(write_files(ids, width, shared_folder(docs.sparkSession, "token-files")))

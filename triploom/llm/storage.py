@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 << 20
+BATCH_ROWS = 2_000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -18,7 +19,10 @@ def reach_workers(spark: SparkSession) -> None:
     """Let Python workers look for this package where the driver found it.
 
     That is enough where they share a disk; other clusters get it with ``--py-files``.
+    Arrow batches of Spark's usual size are made smaller, as texts are long.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
