@@ -209,6 +209,31 @@ def test_mixing_odd_input(spark):
     assert mixing.with_rates(no_docs(spark), labels, DOMAINS, WEIGHTS).count() == 0
 
 
+@pytest.mark.parametrize("rare", [6, 30])
+@pytest.mark.parametrize("weights", [{"a": 0.95, "b": 0.05}, {"a": 0.5, "b": 0.5}, {"a": 1.0}])
+def test_totals_equal_weights_whatever_the_domains_share(spark, rare, weights):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["red", "rose", "rust"] if i < rare else ["blue", "bay", "bee"]) for _ in range(60))) for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "b" if i < rare else "a") for i in range(2_000)], "doc_id long, kind string")
+    found = mixing.with_rates(docs, labels, "kind", weights).collect()
+    p, tokens, rates = (np.array([r[c] for r in found]) for c in ("posteriors", "tokens", "rate"))
+    present = tokens @ p
+    assert present[1] < 0.05 * present.sum()
+    if rare == 6:
+        assert present[1] < 0.01 * present.sum()
+    assert np.allclose((rates * tokens) @ p / tokens.sum(), [weights.get(n, 0) for n in "ab"], atol=2e-3)
+
+
+def test_targets_out_of_reach_keep_the_budget(spark):
+    rng = np.random.default_rng(4)
+    faint = rng.uniform(0, 0.003, 2_000)
+    p = np.stack([faint, 1 - faint], axis=1)
+    members = spark.createDataFrame([(100.0, x.tolist()) for x in p], "tokens double, posteriors array<double>")
+    totals = (mixing.rates_of(p, mixing.fit_rates(members, 2e5 * np.array([0.05, 0.95]))) * 100) @ p / 2e5
+    assert abs(totals[1] - 0.95) < 1e-3 and 0.0025 < totals[0] < 0.003
+
+
 def test_domain_classifier_holds_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -2,8 +2,8 @@
 
 A classifier fitted to a labelled table gives each document a posterior over the domains.
 The expected tokens of a domain are then a linear function of the documents' rates, and
-projected gradient descent finds nonnegative rates whose totals match the targets in the
-least-squares sense.
+gradient steps projected on the nonnegative rates find those whose totals match the targets
+in the least-squares sense.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from triploom.llm.storage import stored
 
 SAMPLE_ROWS = 16_000
 STEPS = 60
-CLOSE = 1e-6
-MOST_RATE = 8.0
-SCARCE = 0.01
+CLOSE = 1e-7
+#: What a rate's distance from 1 weighs beside the squared error of the totals.
+STAY = 1e-8
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, domain: str, sample_rows: int = SAMPLE_ROWS) -> tuple[Linear, list[str]]:
@@ -60,11 +60,8 @@ def with_posteriors(docs: DataFrame, model: Linear) -> DataFrame:
 
 
 def rates_of(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after ``steps``: from 1, each moves against its gradient, from 0 to ``MOST_RATE``."""
-    rates = np.ones(len(posteriors))
-    for step in steps:
-        rates = np.clip(rates - posteriors @ step, 0, MOST_RATE)
-    return rates
+    """The rates after ``steps``: from 1, each moves against the sum of its gradients, down to 0 at most."""
+    return np.maximum(0, 1 - posteriors @ np.sum(steps, axis=0)) if steps else np.ones(len(posteriors))
 
 
 def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
@@ -73,7 +70,7 @@ def _posteriors(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _totals(steps: list[np.ndarray]):
-    """Sums of rate x tokens x posterior; then of tokens x posterior x posterior where the rate isn't at a bound."""
+    """Sums of rate x tokens x posterior; of tokens x posterior x posterior where the rate isn't 0; of tokens x rate x rate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
@@ -81,39 +78,58 @@ def _totals(steps: list[np.ndarray]):
             if batch.num_rows:
                 p, tokens = _posteriors(batch), batch.column("tokens").to_numpy()
                 rates = rates_of(p, steps)
-                inside = (rates > 0) & (rates < MOST_RATE)
-                free = p[inside]
-                total = total + np.r_[(rates * tokens) @ p, ((free * tokens[inside][:, None]).T @ free).ravel()]
+                free = p[rates > 0]
+                total = total + np.r_[(rates * tokens) @ p, ((free * tokens[rates > 0][:, None]).T @ free).ravel(), tokens @ rates**2]
         flat = np.ravel(total) if np.ndim(total) else np.zeros(0)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(np.arange(len(flat))), "total": pa.array(flat)})
 
     return run
 
 
-def _summed(members: DataFrame, steps: list[np.ndarray], domains: int) -> tuple[np.ndarray, np.ndarray]:
-    out = np.zeros(domains + domains**2)
+def _summed(members: DataFrame, steps: list[np.ndarray], domains: int) -> tuple[np.ndarray, np.ndarray, float]:
+    out = np.zeros(domains + domains**2 + 1)
     for row in members.mapInArrow(_totals(steps), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect():
         out[row["cell"]] = row["total"]
-    return out[:domains], out[domains:].reshape(domains, domains)
+    return out[:domains], out[domains:-1].reshape(domains, domains), float(out[-1])
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, most: int = STEPS) -> list[np.ndarray]:
     """The gradient steps that lead to rates whose expected totals meet ``targets``.
 
-    The squared error is measured in the metric of the second moments of the posteriors of
-    documents whose rate is between the bounds, so a step settles all totals at once unless
-    rates meet a bound. Each step is one pass over ``tokens`` and ``posteriors`` that sums a number per
-    domain and pair of domains; the steps are all that the tasks need to know to work out
-    any document's rate. Stops when all totals are within ``CLOSE`` of the targets.
+    Minimises the squared error of the totals, as shares of all targets, plus ``STAY`` times
+    the squared distance of the rates from 1. So targets that nonnegative rates can meet are
+    met by the rates nearest to 1, and others are missed by as little as can be. The rates
+    depend on a number per domain only, in which Newton steps, shortened until the convex
+    dual falls, settle the error. Each step is one pass over ``tokens`` and ``posteriors``
+    that sums a number per domain and pair of domains; the steps are all that the tasks
+    need to know to work out any document's rate. Stops at a gradient within ``CLOSE``.
     """
+    whole = max(float(targets.sum()), 1e-9)
+    goal, ridge = targets / whole, STAY * np.eye(len(targets))
+
+    def state(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, float]:
+        at = np.sum(steps, axis=0) if steps else np.zeros(len(targets))
+        totals, moments, squares = _summed(members, steps, len(targets))
+        return totals / whole - goal - STAY * at, moments / whole + ridge, squares / whole / 2 + goal @ at + STAY / 2 * at @ at
+
     steps: list[np.ndarray] = []
-    for _ in range(most):
-        totals, moments = _summed(members, steps, len(targets))
-        error = totals - targets
-        if np.abs(error).max() <= CLOSE * max(1.0, np.abs(targets).max()):
-            break
-        ridge = 1e-9 * max(np.trace(moments), 1e-9) * np.eye(len(targets))
-        steps.append(np.linalg.solve(moments + ridge, error))
+    error, moments, height = state(steps)
+    passes = 1
+    while passes < most and np.abs(error).max(initial=0) > CLOSE:
+        step = np.linalg.solve(moments, error)
+        slope = error @ step
+        while True:
+            after = state([*steps, step])
+            passes += 1
+            if after[2] <= height - 1e-4 * (error @ step):
+                break
+            if passes >= most or error @ step < 1e-9 * slope:
+                return steps
+            turned = after[0] @ step
+            scale = error @ step / (error @ step - turned) if turned < 0 else 0.5
+            step = step * min(0.8, max(0.05, scale))
+        steps.append(step)
+        error, moments, height = after
     return steps
 
 
@@ -126,21 +142,17 @@ def _rater(steps: list[np.ndarray]):
 
 
 def targets_of(present: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Tokens wanted per domain: scarce domains as they are, the rest by weight."""
-    scarce = present < SCARCE * present.sum()
-    wanted = np.where(scarce, 0.0, weights)
-    if not wanted.sum():
-        return present.copy()
-    return np.where(scarce, present, present[~scarce].sum() * wanted / wanted.sum())
+    """Tokens wanted per domain: all present ones by weight, but none in a domain without expected tokens."""
+    wanted = np.where(present > 0, weights, 0.0)
+    return present.sum() * wanted / wanted.sum() if wanted.sum() else present.copy()
 
 
 def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[str, float], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``tokens``, ``posteriors``, ``rate`` and ``copies``.
 
     ``weights`` are relative; a domain that it doesn't name gets 0. The whole budget is the
-    present number of tokens. A domain with under ``SCARCE`` of them keeps what it has: it
-    has hardly any members of its own, and the faint shares of others could only reach a
-    target at absurd rates. No document is repeated more than ``MOST_RATE`` times. ``copies``
+    present number of tokens. A rate has no upper bound: a domain with few tokens may take
+    many copies to reach its weight. ``copies``
     rounds the rate up or down with a chance given by its fraction and drawn from the hash
     of the doc_id, so the same input gives the same mix. NULL and empty texts weigh nothing
     but have a rate. Columns of the input with these names are replaced.
@@ -148,7 +160,7 @@ def with_rates(docs: DataFrame, labels: DataFrame, domain: str, weights: dict[st
     model, names = fit_domains(docs, labels, domain, sample_rows)
     members = stored(with_posteriors(docs.drop("rate", "copies"), model), "posteriors")
     lean = members.select("tokens", "posteriors")
-    present, _ = _summed(lean, [], len(names))
+    present, _, _ = _summed(lean, [], len(names))
     steps = fit_rates(lean, targets_of(present, np.array([weights.get(n, 0.0) for n in names])))
     rated = members.withColumn("rate", _rater(steps)("posteriors"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / float(1 << 20)
