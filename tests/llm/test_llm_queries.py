@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import zlib
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -62,3 +64,41 @@ def test_pipeline_stages_take_effect(spark):
         start += len(ids)
     assert rows == expected
     assert sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()) == expected
+
+
+@pytest.mark.parametrize("large", [0, 60])
+def test_near_dedup_stage_keeps_one_of_each_brute_force_group(spark, large):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(40):
+        words = [f"w{rng.randrange(5_000)}" for _ in range(rng.randint(30, 200))]
+        for edits in (0, 1, 2, 4, 8):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), edits):
+                copy[at] = f"e{rng.randrange(5_000)}"
+            texts.append(" ".join(copy))
+    words = [f"w{rng.randrange(5_000)}" for _ in range(200)]
+    for _ in range(large):
+        copy = list(words)
+        for at in rng.sample(range(len(copy)), 3):
+            copy[at] = f"e{rng.randrange(5_000)}"
+        texts.append("a common line that is in all of them . " + " ".join(copy))
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = []
+    for text in texts:
+        w = text.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            one, other = sorted((top(i), top(j)))
+            root[other] = one
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect())
+    assert kept == [i for i in range(len(texts)) if top(i) == i] and len(kept) < len(texts) - 40
