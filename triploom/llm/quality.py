@@ -1,8 +1,9 @@
 """Quality by weak labels.
 
 Heuristic labellers vote good, bad or nothing on every document. Expectation-maximisation
-over the counts of all vote patterns estimates how often each labeller is right about good
-and about bad documents; the posteriors of a bounded sample then train a hashed linear scorer,
+over the counts of all vote patterns estimates the shares of good documents and of each
+fault; how often a labeller is right about its own fault and about good documents is
+preset. The posteriors of a bounded sample then train a hashed linear scorer,
 which scores every whole text.
 """
 
@@ -78,10 +79,10 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     Faults exclude each other more than they come together, so a single class of bad
     documents would drift to the most frequent fault. There is one hidden class of good
     documents and one per labeller, of documents with the fault that it looks for. EM
-    estimates the shares of the classes and how often each labeller calls a document of
-    each class bad when it votes; no vote says nothing. That labellers rarely do so for good
-    documents (``RARELY``) and mostly do for their own fault (``MOSTLY``) is a prior that
-    weighs as much as all documents. Stops when no posterior moves by more than 1e-9.
+    estimates the shares of the classes and how often each labeller calls documents with
+    another's fault bad when it votes; no vote says nothing. That labellers rarely do so for
+    good documents (``RARELY``) and mostly do for their own fault (``MOSTLY``) is as good as
+    preset: a prior that weighs as much as all documents. Stops when no posterior moves by more than 1e-9.
     """
     found = digits(patterns)
     votes_good, votes_bad = (found == GOOD).astype(float), (found == BAD).astype(float)
