@@ -406,6 +406,16 @@ def test_quality_odd_input(spark):
     assert quality.accepted(no_docs(spark)).count() == 0
 
 
+def test_sample_features_takes_one_row_per_id(spark):
+    docs = spark.createDataFrame([*[(1, f"text {i}") for i in range(50)], (2, "other"), (3, None), (4, "out")], "doc_id long, text string")
+    sample = spark.createDataFrame([(1, 0.5), (2, 1.0), (3, 0.0)], "doc_id long, weak_label double")
+    rows = {r["doc_id"]: r["slots"] for r in linear.sample_features(docs, sample, form=True).to_pylist()}
+    found = linear.sample_features(docs, sample, form=True)
+    assert found.num_rows == 3 and found.column_names == ["doc_id", "weak_label", "slots"]
+    chosen = min((f"text {i}".encode() for i in range(50)), key=lambda x: hashlib.md5(x).hexdigest())
+    assert sorted(rows[1]) == sorted(linear.features(chosen).tolist())
+
+
 def test_linear_fit_separates():
     rows = [linear.features(f"{'bad' if i % 2 else 'fine'} w{i % 7}".encode()) for i in range(200)]
     model = linear.fit(rows, np.array([[i % 2, 1 - i % 2] for i in range(200)], float), form=True)

@@ -133,9 +133,11 @@ def _featuriser(form: bool):
 def sample_features(docs: DataFrame, sample: DataFrame, form: bool) -> pa.Table:
     """The columns of ``sample`` (doc_id first) with ``slots``, for a sample of bounded size.
 
-    The sample is broadcast, so no text is shuffled.
+    The sample is broadcast, so only its texts are shuffled. Of rows that share a doc_id the
+    text with the smallest digest counts.
     """
     once = docs.select("doc_id", F.col("text").cast("binary").alias("_bytes"))
     rows = once.join(F.broadcast(sample), "doc_id").select(*sample.columns, "_bytes")
+    rows = rows.groupBy(*sample.columns).agg(F.min_by("_bytes", F.md5("_bytes")).alias("_bytes"))
     schema = f"{', '.join(f'`{n}` {t}' for n, t in sample.dtypes)}, slots array<int>"
     return rows.mapInArrow(_featuriser(form), schema).toArrow()
