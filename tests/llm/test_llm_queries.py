@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert queries().keys() >= {*QUERIES, "pipeline"}
 
 

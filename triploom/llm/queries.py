@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triploom.llm import decontaminate, hnsw, huffman, mixing, packing, quality, simhash_dups, suffix_dups, token_cache, warc
+from triploom.llm import align, byte_bpe, decontaminate, fill_in_middle, hnsw, huffman, mixing, packing, quality, simhash_dups, suffix_dups, token_cache, warc
 from triploom.llm.storage import reach_workers, shared_folder, stored
 
 DOMAINS = "concat('quality', quality, ' toxic', toxic)"
@@ -80,6 +80,25 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dups.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents and the bytes that they stand for, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = byte_bpe.decoded(byte_bpe.encoded(_table(spark, sf_dir, "documents"), ranks), ranks)
+    n_tokens = F.shiftright(F.octet_length("ids"), 2).cast("long")
+    return rows.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of all documents."""
+    return fill_in_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of the tokens of two vocabularies in all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return align.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,6 +112,9 @@ QUERIES = {
         op8_best_fit_shards,
         op9_simhash_near_dups,
         op10_repeated_passages,
+        op11_byte_bpe,
+        op12_fill_in_middle,
+        op13_token_alignment,
     )
 }
 
@@ -161,5 +183,30 @@ marked AS (SELECT *, coalesce((start > lag(start) OVER w + 50)::INTEGER, 1) AS f
 numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS passage FROM marked)
 SELECT doc_id, min(start)::INTEGER AS start_word, (max(start) - min(start) + 50)::INTEGER AS n_words
 FROM numbered GROUP BY doc_id, passage
+""",
+    "op12_fill_in_middle": r"""
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+),
+drawn AS (
+    SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS two,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+                WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM cut
+),
+parts AS (
+    SELECT *, array_to_string(units[1 : least(one, two)], '') AS prefix,
+           array_to_string(units[least(one, two) + 1 : greatest(one, two)], '') AS middle,
+           array_to_string(units[greatest(one, two) + 1 : n], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }
