@@ -1,9 +1,10 @@
 """Isolation Forest (Liu, Ting, Zhou: *Isolation Forest*, ICDM 2008) on Spark.
 
-Spark draws the samples and builds the trees in parallel, one small group per tree;
-scoring is a vectorised column function over the finished forest. A forest has at most
-``2 * max_samples`` nodes per tree however large the table is, which is what makes it
-safe to hold on the driver and to broadcast.
+All trees grow at once, level by level, in DataFrame expressions: the range of every feature
+in every node is one window a level, and every random number is taken from an MD5 digest, so
+the forest depends on the data and the seed alone. A forest has at most ``4 * max_samples``
+nodes per tree however large the table is, which is what makes it safe to hold on the driver.
+A forest over one feature scores by interval lookup, one over more by a vectorised walk.
 """
 
 from __future__ import annotations
@@ -15,17 +16,22 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from triploom.operators.quantile import label_above, outlier_threshold
+from triploom.sources.checkpoints import cut_lineage
 
 # executors get the functions below with the task and need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EULER_GAMMA = 0.5772156649015329
 POOL_FACTOR = 4
+#: Path lengths are added as whole multiples of this share, so that any order gives one sum.
+PATH_UNITS = 1_000_000_000
+HASH_DIGITS = 13
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, "
     "size int, depth int"
@@ -40,33 +46,82 @@ def average_path(size: np.ndarray | int) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow_tree(tree: int, points: np.ndarray, max_depth: int, seed: int) -> pd.DataFrame:
-    """Split at random until every point is alone, equal to its group or too deep."""
-    rng = np.random.default_rng([seed, tree])
-    rows: list[tuple] = []
-    waiting = [(0, points, 0)]
-    next_id = 1
-    while waiting:
-        node, group, depth = waiting.pop()
-        low, high = group.min(axis=0), group.max(axis=0)
-        usable = np.flatnonzero(low < high)
-        if depth >= max_depth or len(usable) == 0:
-            rows.append((tree, node, -1, 0.0, -1, -1, len(group), depth))
-            continue
-        feature = int(rng.choice(usable))
-        split = float(rng.uniform(low[feature], high[feature]))
-        if split <= low[feature]:  # a draw of the minimum itself would separate nothing
-            split = float(np.nextafter(low[feature], high[feature]))
-        goes_left = group[:, feature] < split
-        rows.append((tree, node, feature, split, next_id, next_id + 1, len(group), depth))
-        waiting.append((next_id, group[goes_left], depth + 1))
-        waiting.append((next_id + 1, group[~goes_left], depth + 1))
-        next_id += 2
-    names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
-    return pd.DataFrame(rows, columns=names)
-
-
-def _draw_samples(
+def uniform(*parts: Column | str | int) -> Column:
+    """A number evenly spread over [0, 1): the first 52 bits of the MD5 of ``parts``."""
+    text = F.concat_ws(":", *((p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts))
+    digits = F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**HASH_DIGITS))
+
+
+def grow_trees(samples: DataFrame, width: int, max_depth: int, seed: int) -> DataFrame:
+    """The nodes (``NODE_SCHEMA``) of all trees over ``samples`` (``tree``, ``x``).
+
+    Nodes are numbered like a heap, the root 1 and the children of ``n`` being ``2 n`` and
+    ``2 n + 1``. Each level takes the least and largest value of every feature per node and
+    splits the nodes in which one differs, until every point is alone, equal to its group or
+    too deep. The points stay dealt out by tree, so no level shuffles.
+    """
+    points = samples.select("tree", "x", F.lit(1).alias("node"))
+    in_node = Window.partitionBy("tree", "node")
+    reached = []
+    for level in range(max_depth + 1):
+        points = points.withColumn("size", F.count(F.lit(1)).over(in_node).cast("int"))
+        feature, split = F.lit(-1), F.lit(0.0)
+        if level < max_depth:
+            lows, highs = ([f(F.col("x")[i]).over(in_node) for i in range(width)] for f in (F.min, F.max))
+            points = points.withColumns({"lows": F.array(*lows), "highs": F.array(*highs)})
+            wide = [F.when(F.col("lows")[i] < F.col("highs")[i], F.lit(i)) for i in range(width)]
+            points = points.withColumn("usable", F.array_compact(F.array(*wide)))
+            draw = F.floor(uniform(seed, F.col("tree"), F.col("node"), "feature") * F.size("usable"))
+            feature = F.coalesce(F.try_element_at("usable", draw.cast("int") + 1), F.lit(-1))
+            points = points.withColumn("feature", feature)
+            at = F.greatest(F.col("feature"), F.lit(0))
+            points = points.withColumns({"low": F.get("lows", at), "high": F.get("highs", at)})
+            share = uniform(seed, F.col("tree"), F.col("node"), "split")
+            split = F.col("low") + share * (F.col("high") - F.col("low"))
+            # a draw of the minimum itself would separate nothing
+            points = points.withColumn("split", F.when(split > F.col("low"), split).otherwise(F.col("high")))
+            feature, split = F.col("feature"), F.col("split")
+        name = f"level{level}"
+        points = points.withColumn(name, F.struct("node", F.lit(level).alias("depth"), feature.alias("feature"), split.alias("split"), "size"))
+        reached.append(name)
+        if level < max_depth:
+            child = 2 * F.col("node") + F.when(F.get("x", at) < F.col("split"), 0).otherwise(1)
+            points = points.withColumn("node", F.when(F.col("feature") >= 0, child).otherwise(F.col("node")))
+            points = points.select("tree", "x", "node", *reached)
+    nodes = points.select("tree", F.explode(F.array(*reached)).alias("n")).groupBy("tree", "n.node")
+    # a leaf is met again on every level below it
+    nodes = nodes.agg(F.min("n.depth").alias("depth"), F.max("n.feature").alias("feature"), F.max("n.split").alias("split"), F.max("n.size").alias("size"))
+    leaf = F.col("feature") < 0
+    return nodes.select(
+        "tree",
+        "node",
+        "feature",
+        F.when(leaf, 0.0).otherwise(F.col("split")).alias("split"),
+        F.when(leaf, -1).otherwise(2 * F.col("node")).alias("left"),
+        F.when(leaf, -1).otherwise(2 * F.col("node") + 1).alias("right"),
+        "size",
+        "depth",
+    )
+
+
+def forest_points(df: DataFrame, id_col: str | None, features_col: str = "features") -> DataFrame:
+    """``id`` and the features ``x`` as an array, stored: every later step reads only these."""
+    row_id = F.col(id_col) if id_col else F.monotonically_increasing_id()
+    return cut_lineage(
+        df.select(row_id.alias("id"), vector_to_array(F.col(features_col)).alias("x"))
+    )
+
+
+def forest_samples(
+    df: DataFrame, id_col: str | None = None, num_trees: int = 100, max_samples: int = 256, seed: int = 1
+) -> DataFrame:
+    """The samples that ``fit_isolation_forest`` grows its trees from."""
+    points = forest_points(df, id_col)
+    return draw_samples(points, points.count(), num_trees, max_samples, seed, POOL_FACTOR)
+
+
+def draw_samples(
     df: DataFrame, rows: int, num_trees: int, max_samples: int, seed: int, pool_factor: int
 ) -> DataFrame:
     """``max_samples`` rows per tree without replacement, chosen by hashed row id.
@@ -77,11 +132,11 @@ def _draw_samples(
     """
     pool_size = pool_factor * num_trees * max_samples
     fraction = min(1.0, pool_size / max(rows, 1))
-    pool = df.filter(_unit_hash(F.lit(seed), F.col("id")) < fraction)
+    pool = df.filter(uniform(seed, F.col("id")) < fraction)
     share = min(1.0, (2 * max_samples + 64) / max(min(rows, pool_size), 1))
     drawn = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
-        .withColumn("draw", _unit_hash(F.lit(seed), F.col("tree"), F.col("id")))
+        .withColumn("draw", uniform(seed, F.col("tree"), F.col("id")))
         .filter(F.col("draw") < share)
     )
     # a set number of partitions, since the optimizer would join such small ones into one
@@ -93,11 +148,6 @@ def _draw_samples(
     )
 
 
-def _unit_hash(*columns):
-    """A hash spread evenly over [0, 1)."""
-    return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / F.lit(float(1 << 53))
-
-
 def fit_isolation_forest(
     df: DataFrame,
     id_col: str | None = None,
@@ -118,31 +168,17 @@ def fit_isolation_forest(
     With a unique ``id_col`` the forest depends only on the data and the seed. Without
     one, row numbers from the file layout stand in.
     """
-    row_id = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    points = df.select(
-        row_id.alias("id"), vector_to_array(F.col(features_col)).alias("x")
-    )
-    rows = df.count()
+    points = forest_points(df, id_col, features_col)
+    rows, width = points.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     if rows == 0:
         raise ValueError("cannot train on an empty table")
     sample_size = min(max_samples, rows)
     max_depth = max(int(np.ceil(np.log2(max(sample_size, 2)))), 1)
-
-    def grow(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rank")
-        x = np.stack(group["x"].to_numpy())
-        return _grow_tree(int(group["tree"].iloc[0]), x, max_depth, seed)
-
-    samples = _draw_samples(points, rows, num_trees, max_samples, seed, pool_factor)
-    nodes = (
-        samples.select("tree", "rank", "x")
-        .groupBy("tree")
-        .applyInPandas(grow, NODE_SCHEMA)
-        .toPandas()  # at most 2 * max_samples rows per tree
-        .sort_values(["tree", "node"], ignore_index=True)
-    )
+    samples = draw_samples(points, rows, num_trees, max_samples, seed, pool_factor)
+    nodes = grow_trees(samples, width, max_depth, seed).toPandas()  # bounded by the samples
+    nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     model = ForestModel(nodes, sample_size, contamination, None, features_col)
-    scores = model.score(df.select(features_col))
+    scores = model.score_values(points, "x")
     model.threshold = outlier_threshold(
         scores, model.score_col, contamination, exact_threshold
     )
@@ -163,14 +199,31 @@ class ForestModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add the outlier score: ``2 ** (-mean path length / c(sample size))``."""
-        spark = df.sparkSession
-        width = int(self.nodes["feature"].max()) + 1
-        x = vector_to_array(F.col(self.features_col))
-        if width <= 1:
-            steps = spark.sparkContext.broadcast(self._step_function())
-            return df.withColumn(self.score_col, _score_steps(steps)(x[0]))
-        forest = spark.sparkContext.broadcast(self._packed())
-        columns = [x[i] for i in range(width)]
+        values = df.withColumn("_x", vector_to_array(F.col(self.features_col)))
+        return self.score_values(values, "_x").drop("_x")
+
+    def score_values(self, df: DataFrame, values: str) -> DataFrame:
+        """The same for features in an array column.
+
+        With one feature the leaves of all trees cut the line into intervals, each with one
+        score: a binary search in their bounds, with no Python worker.
+        """
+        width = max(int(self.nodes["feature"].max()) + 1, 1)
+        if width == 1:
+            breaks, scores = self._step_function()
+            found = df.withColumn("_first", F.get(F.col(values), F.lit(0)))
+            if len(breaks):
+                splits = [-np.inf, *breaks.tolist(), np.inf]
+                lookup = Bucketizer(splits=splits, inputCol="_first", outputCol="_at", handleInvalid="keep")
+                found = lookup.transform(found)
+            else:
+                found = found.withColumn("_at", F.lit(0.0))
+            # NaN and NULL have a bucket of their own, which scores like the last one
+            table = F.split(F.lit(",".join(map(repr, [*scores.tolist(), float(scores[-1])]))), ",")
+            score = F.get(table.cast("array<double>"), F.col("_at").cast("int"))
+            return found.withColumn(self.score_col, score).drop("_first", "_at")
+        forest = df.sparkSession.sparkContext.broadcast(self._packed())
+        columns = [F.get(F.col(values), F.lit(i)) for i in range(width)]
         return df.withColumn(self.score_col, _score_forest(forest)(*columns))
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -209,18 +262,20 @@ class ForestModel:
     def _packed(self) -> dict[str, np.ndarray]:
         """All trees as flat arrays; child links become positions in them."""
         nodes = self.nodes
-        first = nodes.groupby("tree", sort=True)["node"].size().cumsum().shift(fill_value=0)
-        start = nodes["tree"].map(first).to_numpy()
         leaf = nodes["feature"].to_numpy() < 0
         here = np.arange(len(nodes))
-        children = start[:, None] + nodes[["left", "right"]].to_numpy()
+        place = pd.Series(here, index=pd.MultiIndex.from_frame(nodes[["tree", "node"]]))
+        children = np.column_stack([here, here])
+        for side, column in enumerate(("left", "right")):
+            ids = pd.MultiIndex.from_arrays([nodes["tree"], nodes[column]])
+            children[~leaf, side] = place.reindex(ids[~leaf]).to_numpy()
+        path = nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy())
         return {
-            "roots": first.to_numpy(),
+            "roots": nodes.groupby("tree").apply(lambda t: t.index[0], include_groups=False).to_numpy(),
             "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
             "split": nodes["split"].to_numpy(),
-            # a leaf is its own child
-            "children": np.where(leaf[:, None], here[:, None], children).ravel(),
-            "path": nodes["depth"].to_numpy() + average_path(nodes["size"].to_numpy()),
+            "children": children.ravel(),  # a leaf is its own child
+            "path": np.rint(path * PATH_UNITS).astype(np.int64),
             "depth": np.array(int(nodes["depth"].max())),
             "norm": np.array(float(average_path(self.sample_size))),
         }
@@ -243,21 +298,11 @@ def _walk(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
         value = values.take(row_start + forest["feature"].take(at))
         goes_right = value >= forest["split"].take(at)
         at = forest["children"].take(2 * at + goes_right)
-    mean_path = forest["path"].take(at).mean(axis=1)
+    mean_path = forest["path"].take(at).sum(axis=1) / (PATH_UNITS * len(forest["roots"]))
     norm = float(forest["norm"])
     return np.power(2.0, -mean_path / norm) if norm > 0 else np.full(len(x), 0.5)
 
 
-def _score_steps(steps):
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        breaks, values = steps.value
-        for x in batches:
-            yield pd.Series(values[np.searchsorted(breaks, x.to_numpy(), side="right")])
-
-    return score
-
-
 def _score_forest(forest):
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

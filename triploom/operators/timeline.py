@@ -26,6 +26,7 @@ from triploom.operators.relaxation import (
     relax,
     rise,
 )
+from triploom.operators.scan import running_max
 from triploom.operators.skew import HOT_ROWS, split_hot_keys
 from triploom.operators.successors import (
     idle_window,
@@ -38,7 +39,9 @@ from triploom.sources.checkpoints import cut_lineage
 
 POINT = ["place", "time"]
 ARRIVAL = ["to_place", "to_time"]
+CELL = ["place", "slot"]
 BLOCK_ROWS = 500_000
+CELL_ROWS = 200_000
 
 
 def trip_chains(
@@ -52,6 +55,7 @@ def trip_chains(
     wave: int | None = None,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    cell_rows: int = CELL_ROWS,
     cols: TripColumns = TRIP_COLUMNS,
 ) -> DataFrame:
     """``(tripID, longestDistance, previousTripID)`` for every trip.
@@ -63,6 +67,9 @@ def trip_chains(
     ``strategy="blocked"`` moves them on inside slabs of time, each of which a task can
     hold, and exchanges only what leaves a slab: as many rounds as a best chain crosses
     slabs.
+
+    Where more than ``cell_rows`` trips start or end at one place within an idle limit, its
+    arrivals are scanned by as many tasks as that takes; others by a window each.
     """
     if strategy not in ("blocked", "frontier"):
         raise ValueError(f"unknown strategy {strategy!r}; use 'blocked' or 'frontier'")
@@ -87,13 +94,14 @@ def trip_chains(
     # trips without a pickup point inherit nothing, but may be the start of a chain
     unplaced = _arrivals(loose.withColumn("cum", F.lit(0.0)), F.max(_reach()))
     ceiling = positive_total(table)
+    hot = hot_cells(table, width, cell_rows)
     if strategy == "frontier":
         sums = _frontier_sums(
-            legs, unplaced, width, ceiling, max_rounds, hot_rows, broadcast_rows
+            legs, unplaced, width, ceiling, max_rounds, hot_rows, broadcast_rows, hot
         )
     else:
         sums = _blocked_sums(
-            legs, unplaced, width, ceiling, max_rounds, block_rows, hot_rows, broadcast_rows, wave
+            legs, unplaced, width, ceiling, max_rounds, block_rows, hot_rows, broadcast_rows, wave, hot
         )
 
     starts, spread, keys = split_hot_keys(starts, POINT, "id", hot_rows=hot_rows)
@@ -106,7 +114,7 @@ def trip_chains(
     brought = F.max(F.struct(_reach().alias("sum"), (-F.col("id")).alias("minus_id")))
     senders = starts.select(*columns, "cum").unionAll(loose)
     points = starts.select(*POINT).distinct()
-    fathers = _best_arrival(points, _arrivals(senders, brought), width, small=False)
+    fathers = _best_arrival(points, _arrivals(senders, brought), width, False, hot)
     fathers = fathers.select(
         *POINT, F.col("cum.sum").alias("sum"), (-F.col("cum.minus_id")).alias("father")
     )
@@ -126,6 +134,7 @@ def _frontier_sums(
     max_rounds: int | None,
     hot_rows: int,
     broadcast_rows: int,
+    hot: DataFrame | None,
 ) -> DataFrame:
     """Largest sum brought to each pickup point, one hop per round."""
     legs, spread, keys = split_hot_keys(legs, POINT, "to_time", hot_rows=hot_rows)
@@ -139,11 +148,11 @@ def _frontier_sums(
         )
         sent = legs.join(hinted(ready, fits), keys)
         # a point may send many arrivals, which are not counted: no hint for them
-        return _best_arrival(points, _arrivals(sent, F.max(_reach())), width, small=False)
+        return _best_arrival(points, _arrivals(sent, F.max(_reach())), width, False, hot)
 
     sent = _arrivals(legs.withColumn("cum", F.lit(0.0)), F.max(_reach()))
     first = sent.unionAll(unplaced).groupBy(*POINT).agg(F.max("value").alias("value"))
-    first = _best_arrival(points, first, width, small=False)
+    first = _best_arrival(points, first, width, False, hot)
     return relax(first, POINT, propose, ceiling, max_rounds, broadcast_rows)
 
 
@@ -157,6 +166,7 @@ def _blocked_sums(
     hot_rows: int,
     broadcast_rows: int,
     wave: int | None,
+    hot: DataFrame | None,
 ) -> DataFrame:
     """Largest sum brought to each pickup point, one slab of time per round.
 
@@ -195,7 +205,7 @@ def _blocked_sums(
         sent = cut_lineage(sent.groupBy(*POINT).agg(F.max("value").alias("value")))
         # each arrival stands in two slots
         fits = 2 * sent.count() <= broadcast_rows
-        offers = _best_arrival(points, sent, width, fits)
+        offers = _best_arrival(points, sent, width, fits, hot)
         frontier = rise(offers, raised, POINT, total, broadcast_rows)
         total += frontier.count()
 
@@ -247,17 +257,33 @@ def _arrivals(senders: DataFrame, value: Column) -> DataFrame:
     )
 
 
+def hot_cells(trips: DataFrame, width: int, cell_rows: int) -> DataFrame | None:
+    """The cells (place, slot) that more than ``cell_rows`` trips start or end in, or None.
+
+    No round can bring more rows to a cell than these. Counting combines inside the input
+    partitions first.
+    """
+    own, ended = slot_of("time", width), slot_of("to_time", width)
+    begun = trips.filter(none_null(POINT)).select("place", own.alias("slot"))
+    slots = F.explode(F.array(ended, ended + width)).alias("slot")
+    arrived = trips.filter(none_null(ARRIVAL)).select(F.col("to_place").alias("place"), slots)
+    full = begun.unionAll(arrived).groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows"))
+    full = cut_lineage(full.filter(F.col("rows") > cell_rows).select(*CELL))
+    found = full.limit(BROADCAST_ROWS + 1).count()
+    return hinted(full, found <= BROADCAST_ROWS) if found else None
+
+
 def _best_arrival(
-    points: DataFrame, arrivals: DataFrame, width: int, small: bool
+    points: DataFrame, arrivals: DataFrame, width: int, small: bool, hot: DataFrame | None = None
 ) -> DataFrame:
     """The points that an arrival can reach, and the largest value in reach as ``cum``.
 
     Time is cut into slots as long as the idle limit. A point sees the arrivals of its
     own slot that precede it, and those of the slot before that are recent enough. Both
-    are running maxima in order of time, and a window holds one place and slot: at most
-    one row per distinct time on either side, however many trips lie behind them.
+    are running maxima in order of time over one place and slot: in a window, which holds at
+    most one row per distinct time on either side, or, for the ``hot`` cells, over as many
+    tasks as the cell needs.
     """
-    cell = ["place", "slot"]
     own_slot = slot_of("time", width)
     slots = F.inline(
         F.array(
@@ -267,27 +293,51 @@ def _best_arrival(
     )
     cells = arrivals.select("place", "time", "value", slots)
     # the filter keeps `value`, so that both uses of the arrivals share one exchange
-    touched = hinted(cells.filter("value is not null").select(*cell), small)
-    near = points.withColumn("slot", own_slot).join(touched, cell, "left_semi")
+    touched = hinted(cells.filter("value is not null").select(*CELL), small)
+    placed = points.withColumn("slot", own_slot)
+    near = placed.join(touched, CELL, "left_semi")
+    if hot is None:
+        return _in_windows(_asked(near, cells, width))
+    others = [df.join(hot, CELL, "left_anti") for df in (near, cells)]
+    rows = _asked(*(df.join(hot, CELL, "left_semi") for df in (placed, cells)), width)
+    return _in_windows(_asked(*others, width)).unionAll(_in_pieces(rows))
+
 
+def _asked(points: DataFrame, cells: DataFrame, width: int) -> DataFrame:
+    """Points and arrivals in one table: a point has no ``same``; ``age`` falls with time."""
     second = seconds_of("time")
-    value_type = arrivals.schema["value"].dataType
-    rows = near.select(
-        *cell,
+    value_type = cells.schema["value"].dataType
+    return points.select(
+        *CELL,
         "time",
         (F.lit(width - 1) - second).alias("age"),
         F.lit(None).cast("boolean").alias("same"),
         F.lit(None).cast(value_type).alias("value"),
-    ).unionAll(cells.select(*cell, "time", -second, "same", "value"))
-    by_cell = Window.partitionBy(*cell)
+    ).unionAll(cells.select(*CELL, "time", (-second).alias("age"), "same", "value"))
+
+
+def _in_windows(rows: DataFrame) -> DataFrame:
+    by_cell = Window.partitionBy(*CELL)
     before = by_cell.orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
     recent = by_cell.orderBy("age").rangeBetween(Window.unboundedPreceding, 0)
     best = F.greatest(
         F.max(F.when(F.col("same"), F.col("value"))).over(before),
         F.max(F.when(~F.col("same"), F.col("value"))).over(recent),
     )
-    return (
-        rows.withColumn("cum", best)
-        .filter(F.col("same").isNull() & F.col("cum").isNotNull())
-        .select(*POINT, "cum")
-    )
+    return _reached(rows.withColumn("cum", best))
+
+
+def _in_pieces(rows: DataFrame) -> DataFrame:
+    """The same two maxima; a point precedes arrivals of its time and follows those of its age."""
+    point = F.col("same").isNull()
+    rows = rows.withColumn("turn", F.when(point, 0).otherwise(1))
+    own = rows.filter("same is null or same")
+    own = running_max(own, CELL, ["time", "turn"], "value").filter("same is null")
+    earlier = rows.filter("same is null or not same").withColumn("turn", -F.col("turn"))
+    earlier = running_max(earlier, CELL, ["age", "turn"], "value").filter("same is null")
+    found = own.unionAll(earlier).withColumn("cum", F.col("best")).filter("cum is not null")
+    return found.groupBy(*POINT).agg(F.max("cum").alias("cum"))
+
+
+def _reached(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("same").isNull() & F.col("cum").isNotNull()).select(*POINT, "cum")

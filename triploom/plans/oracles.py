@@ -106,6 +106,91 @@ def _chains(weight: str) -> str:
 
 ALL_CHAINS = "SELECT * FROM chains"
 
+TREES, SAMPLE, LEVELS, SEED, POOL = 100, 256, 8, 1, 4 * 100 * 256
+
+
+def _uniform(*parts: object) -> str:
+    joined = ", ".join(f"'{p}'" if isinstance(p, str) and p in ("feature", "split") else str(p) for p in parts)
+    return f"(('0x' || substr(md5(concat_ws(':', {joined})), 1, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE)"
+
+
+def _path(size: str) -> str:
+    return (
+        f"(CASE WHEN {size} > 2 THEN 2 * (ln({size} - 1) + 0.5772156649015329::DOUBLE) - 2.0::DOUBLE * ({size} - 1) / {size} "
+        f"WHEN {size} = 2 THEN 1 ELSE 0 END)"
+    )
+
+
+def _forest(columns: tuple[str, ...]) -> str:
+    """The forest over event trips grown level by level, and the score of every trip."""
+    xs = [f"x{i}" for i in range(len(columns))]
+    low, high, value = (
+        f"(CASE feature {' '.join(f'WHEN {i} THEN {kind}{x}' for i, x in enumerate(xs))} END)"
+        for kind in ("lo", "hi", "")
+    )
+    scaled = ", ".join(
+        f"{c} / (SELECT stddev_samp({c}) FROM enriched) AS x{i}" for i, c in enumerate(columns)
+    )
+    wide = ", ".join(f"CASE WHEN lo{x} < hi{x} THEN {i} END" for i, x in enumerate(xs))
+    ranges = ", ".join(f"min({x}) AS lo{x}, max({x}) AS hi{x}" for x in xs)
+    all_x = ", ".join(xs)
+    child = f"CASE WHEN feature >= 0 THEN 2 * node + ({value} >= split)::INTEGER ELSE node END AS node"
+    draw = _uniform(SEED, "tree", "node", "split")
+    sql = (
+        f"WITH trips AS ({EVENT_TRIPS_SQL}), timed AS (SELECT *, {DURATION} AS trip_duration FROM trips), "
+        "enriched AS (SELECT *, trip_distance / trip_duration AS speed FROM timed "
+        "WHERE trip_distance IS NOT NULL AND trip_duration > 0), "
+        f"points AS MATERIALIZED (SELECT tripId, {PAIR}, trip_distance, trip_duration, speed, {scaled} FROM enriched), "
+        "sizes AS (SELECT count(*) AS n FROM points), "
+        f"drawn AS (SELECT tree, {all_x}, tripId, {_uniform(SEED, 'tree', 'tripId')} AS draw "
+        f"FROM points, sizes, (SELECT unnest(range({TREES})) AS tree) "
+        f"WHERE {_uniform(SEED, 'tripId')} < least(1.0::DOUBLE, {POOL}::DOUBLE / n)), "
+        f"level0 AS MATERIALIZED (SELECT tree, {all_x}, 1 AS node FROM drawn, sizes "
+        f"WHERE draw < least(1.0::DOUBLE, {2 * SAMPLE + 64}::DOUBLE / least(n, {POOL})) "
+        f"QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, tripId) <= {SAMPLE}), "
+        "walk0 AS (SELECT *, 1 AS node FROM points, (SELECT unnest(range(100)) AS tree))"
+    )
+    for d in range(LEVELS + 1):
+        usable = f"list_filter([{wide}], lambda v: v IS NOT NULL)" if d < LEVELS else "[]::INTEGER[]"
+        sql += (
+            f", range{d} AS (SELECT tree, node, count(*) AS size, {ranges} FROM level{d} GROUP BY tree, node), "
+            f"usable{d} AS (SELECT *, {usable} AS usable FROM range{d}), "
+            f"chosen{d} AS (SELECT *, CASE WHEN len(usable) > 0 THEN usable[1 + floor("
+            f"{_uniform(SEED, 'tree', 'node', 'feature')} * len(usable))::INTEGER] ELSE -1 END AS feature FROM usable{d}), "
+            f"nodes{d} AS MATERIALIZED (SELECT tree, node, size, feature, CASE WHEN feature < 0 THEN 0.0::DOUBLE "
+            f"WHEN {low} + {draw} * ({high} - {low}) > {low} THEN {low} + {draw} * ({high} - {low}) "
+            f"ELSE {high} END AS split FROM chosen{d})"
+        )
+        if d < LEVELS:
+            sql += (
+                f", level{d + 1} AS MATERIALIZED (SELECT tree, {all_x}, {child} FROM level{d} JOIN nodes{d} USING (tree, node))"
+                f", walk{d + 1} AS (SELECT walk{d}.* REPLACE ({child.removesuffix(' AS node').replace('2 * node', f'2 * walk{d}.node').replace('ELSE node', f'ELSE walk{d}.node')} AS node) "
+                f"FROM walk{d} JOIN nodes{d} ON walk{d}.tree = nodes{d}.tree AND walk{d}.node = nodes{d}.node)"
+            )
+    return (
+        f"{sql}, lengths AS (SELECT tripId, sum(round((length(bin(w.node)) - 1 + {_path('size')}) * 1e9)::BIGINT) AS units "
+        f"FROM walk{LEVELS} w JOIN nodes{LEVELS} l ON w.tree = l.tree AND w.node = l.node GROUP BY tripId), "
+        f"scored AS (SELECT points.*, power(2.0::DOUBLE, -(units::DOUBLE / {TREES * 10**9}::DOUBLE) / "
+        f"(SELECT {_path(f'least(n, {SAMPLE})')} FROM sizes)) AS score FROM points JOIN lengths USING (tripId)), "
+        "labelled AS (SELECT *, round(score, 9) AS outlierScore, CASE WHEN score >= "
+        "(SELECT quantile_disc(score, 0.999) FROM scored) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predictedLabel FROM scored)"
+    )
+
+
+def _forest_outliers(columns: tuple[str, ...]) -> str:
+    return (
+        f"{_forest(columns)} SELECT tripId, {PAIR}, trip_distance, trip_duration, speed, outlierScore, predictedLabel "
+        "FROM labelled WHERE predictedLabel = 1"
+    )
+
+
+def _forest_nodes(columns: tuple[str, ...]) -> str:
+    every = " UNION ALL ".join(f"SELECT *, {d} AS depth FROM nodes{d}" for d in range(LEVELS + 1))
+    return (
+        f"{_forest(columns)}, every AS ({every}) SELECT tree::INTEGER AS tree, node, any_value(feature) AS feature, "
+        "round(any_value(split), 9) AS split, any_value(size)::INTEGER AS size, min(depth)::INTEGER AS depth FROM every GROUP BY tree, node"
+    )
+
 ORACLES: dict[str, str] = {
     "profile_describe": f"{WITH_TRIPS} {_summary('trips', SUMMARY_COLUMNS)}",
     "profile_pairs_describe": (
@@ -183,6 +268,10 @@ ORACLES: dict[str, str] = {
         f"WHERE predictedLabel = 0 GROUP BY {PAIR} "
         f"ORDER BY total_amount DESC, {PAIR} LIMIT 10"
     ),
+    "outliers_iforest": _forest_outliers(("speed",)),
+    "outliers_iforest_two_features": _forest_outliers(("speed", "trip_distance")),
+    "iforest_scores": f"{_forest(('speed',))} SELECT tripId, outlierScore, predictedLabel FROM labelled",
+    "iforest_nodes": _forest_nodes(("speed", "trip_distance")),
     "successor_edges": f"WITH {EDGES} SELECT src, dst FROM edges",
     "graph_vertices": (
         f"WITH {EDGES}, ids AS (SELECT tripId AS id FROM trips WHERE trip_distance IS NOT NULL "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from triploom.functions import epoch_seconds
 from triploom.operators import (
+    ForestModel,
     assemble_graph,
     chain_paths,
     chain_text,
@@ -37,6 +38,7 @@ from triploom.operators import (
     trip_vertices,
     with_location,
 )
+from triploom.operators.iforest import forest_samples, grow_trees
 from triploom.operators.pairs import STRUCT_KEY
 from triploom.plans.views import (
     EVENT_MAX_IDLE_S,
@@ -192,22 +194,32 @@ def clean_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(pair_totals(cleaned, scale=2), "total_amount", 10, PAIR)
 
 
-def outliers_iforest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare(event_trips(spark, sf_dir), "speed")
-    model = fit_isolation_forest(rows, id_col="tripId", contamination=CONTAMINATION)
-    columns = ["tripId", *PAIR, "trip_distance", "trip_duration", "speed"]
-    return outliers(model.transform(rows)).select(
-        *columns, "outlierScore", "predictedLabel"
-    )
+def _forest(spark: SparkSession, sf_dir: str, features: str) -> tuple[DataFrame, ForestModel]:
+    rows = prepare(event_trips(spark, sf_dir), features)
+    return rows, fit_isolation_forest(rows, id_col="tripId", contamination=CONTAMINATION)
+
 
+def forest_outliers(features: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, model = _forest(spark, sf_dir, features)
+        columns = ["tripId", *PAIR, "trip_distance", "trip_duration", "speed"]
+        found = outliers(model.transform(rows)).select(*columns, "outlierScore", "predictedLabel")
+        return _rounded(found, {"outlierScore": 9})
+
+    return query
 
-def outliers_iforest_two_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def iforest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = _forest(spark, sf_dir, "speed")
+    scored = model.transform(rows).select("tripId", "outlierScore", "predictedLabel")
+    return _rounded(scored, {"outlierScore": 9})
+
+
+def iforest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepare(event_trips(spark, sf_dir), "speed_distance")
-    model = fit_isolation_forest(rows, id_col="tripId", contamination=CONTAMINATION)
-    columns = ["tripId", *PAIR, "trip_distance", "trip_duration", "speed"]
-    return outliers(model.transform(rows)).select(
-        *columns, "outlierScore", "predictedLabel"
-    )
+    samples = forest_samples(rows, id_col="tripId")
+    nodes = grow_trees(samples, width=2, max_depth=8, seed=1).drop("left", "right")
+    return _rounded(nodes, {"split": 9})
 
 
 def _event_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,8 +287,10 @@ QUERIES: dict[str, Query] = {
     "threshold_labels": threshold_labels,
     "outlier_count": outlier_count,
     "clean_top_pairs": clean_top_pairs,
-    "outliers_iforest": outliers_iforest,
-    "outliers_iforest_two_features": outliers_iforest_two_features,
+    "outliers_iforest": forest_outliers("speed"),
+    "outliers_iforest_two_features": forest_outliers("speed_distance"),
+    "iforest_scores": iforest_scores,
+    "iforest_nodes": iforest_nodes,
     "successor_edges": _event_edges,
     "graph_vertices": graph_vertices,
     "chains_distance": graph_chains("distance"),

@@ -66,17 +66,21 @@ def read_vertices(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_edges(spark: SparkSession, path: str) -> DataFrame:
+def read_edges(spark: SparkSession, path: str, attribute: str | None = None) -> DataFrame:
     """Graph edges: the file's first two columns as ``(src, dst)``.
 
-    Any third column is an edge attribute; chains never read it, so it stays
-    out of the scan.
+    ``attribute`` keeps the third column under that name, as a double:
+    ``longest_chains(edge_weight=attribute)`` adds it along the chain. Without a name it
+    stays out of the scan.
     """
     raw = spark.read.csv(path, header=True)
-    src, dst = raw.columns[:2]
-    return raw.select(
-        F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst")
-    )
+    if attribute and len(raw.columns) < 3:
+        raise ValueError(f"{path} has no third column")
+    ends = [F.col(c).cast("long") for c in raw.columns[:2]]
+    columns = [ends[0].alias("src"), ends[1].alias("dst")]
+    if attribute:
+        columns.append(F.col(raw.columns[2]).cast("double").alias(attribute))
+    return raw.select(*columns)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
