@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 from itertools import combinations
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import queries
-from triploom.llm import decontaminate, quality
+from triploom.llm import decontaminate, quality, simhash_dups
 from triploom.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -69,36 +70,40 @@ def test_pipeline_stages_take_effect(spark):
 @pytest.mark.parametrize("large", [0, 60])
 def test_near_dedup_stage_keeps_one_of_each_brute_force_group(spark, large):
     rng = random.Random(12)
-    texts = []
+    texts = [None, "", " "]
     for _ in range(40):
-        words = [f"w{rng.randrange(5_000)}" for _ in range(rng.randint(30, 200))]
-        for edits in (0, 1, 2, 4, 8):
+        words = [f"w{rng.randrange(5_000)}" for _ in range(rng.randint(100, 400))]
+        for edits in (0, 0, 1, 1, 2, 4, 30):
             copy = list(words)
             for at in rng.sample(range(len(copy)), edits):
                 copy[at] = f"e{rng.randrange(5_000)}"
             texts.append(" ".join(copy))
-    words = [f"w{rng.randrange(5_000)}" for _ in range(200)]
-    for _ in range(large):
-        copy = list(words)
-        for at in rng.sample(range(len(copy)), 3):
-            copy[at] = f"e{rng.randrange(5_000)}"
-        texts.append("a common line that is in all of them . " + " ".join(copy))
-    rng.shuffle(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sets = []
-    for text in texts:
-        w = text.split()
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
-    root = list(range(len(texts)))
+    texts += [f"a common line that is in all of them . {i % 7}" for i in range(large)]
+    ids = [rng.choice([None, *range(len(texts))]) if rng.random() < 0.3 else i for i in range(len(texts))]
+    rows = [(i, t, rng.choice("ab")) for i, t in zip(ids, texts, strict=True)]
+    rows += rows[::9]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    keys = sorted({(i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest()) for i, t, _ in rows})
+    text_of = {(i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest()): t for i, t, _ in rows}
+    fps = simhash_dups.fingerprints([(text_of[k] or "").encode() for k in keys], 3).tolist()
+    root = list(range(len(keys)))
 
     def top(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i, j in combinations(range(len(texts)), 2):
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+    for i, j in combinations(range(len(keys)), 2):
+        if (fps[i] ^ fps[j]).bit_count() <= 2:
             one, other = sorted((top(i), top(j)))
             root[other] = one
-    kept = sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect())
-    assert kept == [i for i in range(len(texts)) if top(i) == i] and len(kept) < len(texts) - 40
+    kept = [keys[i] for i in range(len(keys)) if top(i) == i]
+    expected = []
+    for k in kept:
+        expected.append(min(s for i, t, s in rows if (i is None, i or 0, hashlib.md5((t or "").encode()).hexdigest()) == k))
+    found = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    got = found.collect()
+    assert len(got) == len(kept) < len(keys) - 30
+    rows_kept = [(r.doc_id is None, r.doc_id or 0, hashlib.md5((r.text or "").encode()).hexdigest(), r.source) for r in got]
+    assert sorted(rows_kept) == [(*k, s) for k, s in zip(kept, expected, strict=True)]

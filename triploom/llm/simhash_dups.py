@@ -21,12 +21,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triploom.llm.components import components
-from triploom.llm.storage import stored
+from triploom.llm.storage import only, stored
 
 BITS = 64
 PARTS = 3
@@ -263,3 +263,29 @@ def near_duplicates(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFra
     least = joined.groupBy("root").agg(F.min("_least").alias("component_id"))
     named = joined.join(least, "root").select("fp", "component_id")
     return base.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _row_key() -> Column:
+    """Tells rows apart by doc_id and text, known and small doc_ids first."""
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("doc_id"), digest.alias("digest"))
+
+
+def one_of_each(docs: DataFrame, radius: int = 2, words: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest doc_id.
+
+    Rows are told apart by doc_id and text, so of rows that share a doc_id only near copies
+    of another row go. Rows without a doc_id come after all others. Of rows with equal doc_id
+    and text the smallest by all columns stays. The decision is joined by key: ``docs`` is
+    shuffled only where the keys to drop don't fit a broadcast.
+    """
+    keyed = docs.select(_row_key().alias("doc_id"), "text")
+    groups = near_duplicates(keyed, radius, words)
+    rows = groups.groupBy(F.col("doc_id").alias("key")).agg(F.first(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("n"))
+    rows = rows.filter("not first or n > 1").select(F.md5(F.to_json("key").cast("binary")).alias("_key"), "first")
+    rows = stored(rows, "not-single")
+    marked = docs.withColumn("_key", F.md5(F.to_json(_row_key()).cast("binary")))
+    single = only(marked, rows.select("_key"), "left_anti", "_key").drop("_key")
+    repeated = only(marked, rows.filter("first").select("_key"), "left_semi", "_key")
+    smallest = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("row")
+    return single.unionByName(repeated.groupBy("_key").agg(smallest).select("row.*"))
