@@ -8,11 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from triploom.llm import decontaminate, huffman, mixing, near_sets, quality
+from triploom.llm import decontaminate, huffman, mixing, quality, simhash_dups
 from triploom.llm.queries import DOMAINS, WEIGHTS
-from triploom.llm.storage import only, reach_workers, stored
+from triploom.llm.storage import reach_workers, stored
 
 #: Few, as the workers of the stages before still hold memory when the last one starts.
 CACHED_PIECES = 150_000
@@ -25,18 +24,12 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by similarities of 0.8 or more: that of the smallest doc_id.
+    """Keep one document of each group linked by fingerprints: that of the smallest doc_id.
 
-    Of rows that repeat its doc_id one stays; rows without a doc_id go.
+    Rows without a doc_id and rows that share one are decided by their texts like any other.
     """
     reach_workers(spark)
-    groups = stored(near_sets.near_copies(docs.filter("doc_id is not null")), "groups")
-    first = groups.groupBy("root").agg(F.min("doc_id").alias("_first"))
-    rows = groups.join(first, "root").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("_first")).alias("first"), F.count("*").alias("n"))
-    rows = stored(rows.filter("not first or n > 1"), "not-single")
-    single = only(docs.filter("doc_id is not null"), rows.select("doc_id"), "left_anti")
-    repeated = only(docs, rows.filter("first").select("doc_id"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).select(*docs.columns)
+    return simhash_dups.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
