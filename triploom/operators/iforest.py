@@ -9,6 +9,7 @@ A forest over one feature scores by interval lookup, one over more by a vectoris
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,7 @@ POOL_FACTOR = 4
 #: Path lengths are added as whole multiples of this share, so that any order gives one sum.
 PATH_UNITS = 1_000_000_000
 HASH_DIGITS = 13
+PRIME = (1 << 31) - 1
 NODE_SCHEMA = (
     "tree int, node int, feature int, split double, left int, right int, "
     "size int, depth int"
@@ -65,11 +67,13 @@ def grow_trees(samples: DataFrame, width: int, max_depth: int, seed: int) -> Dat
     in_node = Window.partitionBy("tree", "node")
     reached = []
     for level in range(max_depth + 1):
-        points = points.withColumn("size", F.count(F.lit(1)).over(in_node).cast("int"))
+        found = {"size": F.count(F.lit(1)).over(in_node).cast("int")}
         feature, split = F.lit(-1), F.lit(0.0)
         if level < max_depth:
-            lows, highs = ([f(F.col("x")[i]).over(in_node) for i in range(width)] for f in (F.min, F.max))
-            points = points.withColumns({"lows": F.array(*lows), "highs": F.array(*highs)})
+            for name, extreme in (("lows", F.min), ("highs", F.max)):
+                found[name] = F.array(*(extreme(F.col("x")[i]).over(in_node) for i in range(width)))
+        points = points.withColumns(found)
+        if level < max_depth:
             wide = [F.when(F.col("lows")[i] < F.col("highs")[i], F.lit(i)) for i in range(width)]
             points = points.withColumn("usable", F.array_compact(F.array(*wide)))
             draw = F.floor(uniform(seed, F.col("tree"), F.col("node"), "feature") * F.size("usable"))
@@ -121,31 +125,42 @@ def forest_samples(
     return draw_samples(points, points.count(), num_trees, max_samples, seed, POOL_FACTOR)
 
 
+def tree_factors(seed: int, num_trees: int) -> list[tuple[int, int]]:
+    """For each tree the factor and the shift of its order of the rows, from MD5 digests."""
+    digests = (hashlib.md5(f"{seed}:{tree}:draw".encode()).hexdigest() for tree in range(num_trees))
+    return [(int(d[:8], 16) % (PRIME - 1) + 1, int(d[8:16], 16) % PRIME) for d in digests]
+
+
 def draw_samples(
     df: DataFrame, rows: int, num_trees: int, max_samples: int, seed: int, pool_factor: int
 ) -> DataFrame:
     """``max_samples`` rows per tree without replacement, chosen by hashed row id.
 
     A first hash keeps a pool of a few times the rows the forest needs, so only the
-    pool, not the table, is repeated per tree. A second hash leaves each tree about
-    twice its sample, of which the lowest hashes are kept.
+    pool, not the table, is repeated per tree. There every tree orders the rows anew by a
+    linear function of their hash modulo a prime; a share leaves each tree about twice its
+    sample, of which the lowest are kept.
     """
     pool_size = pool_factor * num_trees * max_samples
     fraction = min(1.0, pool_size / max(rows, 1))
-    pool = df.filter(uniform(seed, F.col("id")) < fraction)
     share = min(1.0, (2 * max_samples + 64) / max(min(rows, pool_size), 1))
+    pool = df.filter(uniform(seed, F.col("id")) < fraction)
+    # as two strings, since a literal per number would take the driver longer than the draw
+    a, b = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in zip(*tree_factors(seed, num_trees), strict=True))
+    hashed = F.floor(uniform(seed, F.col("id"), "hash") * PRIME)
+    trees = F.posexplode(F.arrays_zip(a.alias("a"), b.alias("b"))).alias("tree", "f")
     drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
-        .withColumn("draw", uniform(seed, F.col("tree"), F.col("id")))
-        .filter(F.col("draw") < share)
+        pool.withColumn("hash", hashed)
+        .select("id", "x", "hash", trees)
+        .withColumn("draw", (F.col("f.a") * F.col("hash") + F.col("f.b")) % PRIME)
+        .filter(F.col("draw") < share * PRIME)
     )
     # a set number of partitions, since the optimizer would join such small ones into one
     # and so grow all trees in one task
     parts = min(num_trees, df.sparkSession.sparkContext.defaultParallelism)
     order = Window.partitionBy("tree").orderBy("draw", "id")
-    return drawn.repartition(parts, "tree").withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= max_samples
-    )
+    ranked = drawn.select("tree", "draw", "id", "x").repartition(parts, "tree")
+    return ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= max_samples)
 
 
 def fit_isolation_forest(

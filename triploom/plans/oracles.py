@@ -106,11 +106,11 @@ def _chains(weight: str) -> str:
 
 ALL_CHAINS = "SELECT * FROM chains"
 
-TREES, SAMPLE, LEVELS, SEED, POOL = 100, 256, 8, 1, 4 * 100 * 256
+TREES, SAMPLE, LEVELS, SEED, POOL, PRIME = 100, 256, 8, 1, 4 * 100 * 256, (1 << 31) - 1
 
 
 def _uniform(*parts: object) -> str:
-    joined = ", ".join(f"'{p}'" if isinstance(p, str) and p in ("feature", "split") else str(p) for p in parts)
+    joined = ", ".join(f"'{p}'" if isinstance(p, str) and p in ("feature", "split", "hash") else str(p) for p in parts)
     return f"(('0x' || substr(md5(concat_ws(':', {joined})), 1, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE)"
 
 
@@ -142,11 +142,13 @@ def _forest(columns: tuple[str, ...]) -> str:
         "WHERE trip_distance IS NOT NULL AND trip_duration > 0), "
         f"points AS MATERIALIZED (SELECT tripId, {PAIR}, trip_distance, trip_duration, speed, {scaled} FROM enriched), "
         "sizes AS (SELECT count(*) AS n FROM points), "
-        f"drawn AS (SELECT tree, {all_x}, tripId, {_uniform(SEED, 'tree', 'tripId')} AS draw "
-        f"FROM points, sizes, (SELECT unnest(range({TREES})) AS tree) "
+        f"factors AS (SELECT tree, md5(concat_ws(':', {SEED}, tree, 'draw')) AS d FROM (SELECT unnest(range({TREES})) AS tree)), "
+        f"drawn AS (SELECT tree, {all_x}, tripId, ((('0x' || substr(d, 1, 8))::BIGINT % {PRIME - 1} + 1) "
+        f"* floor({_uniform(SEED, 'tripId', 'hash')} * {PRIME})::BIGINT + ('0x' || substr(d, 9, 8))::BIGINT % {PRIME}) % {PRIME} AS draw "
+        "FROM points, sizes, factors "
         f"WHERE {_uniform(SEED, 'tripId')} < least(1.0::DOUBLE, {POOL}::DOUBLE / n)), "
         f"level0 AS MATERIALIZED (SELECT tree, {all_x}, 1 AS node FROM drawn, sizes "
-        f"WHERE draw < least(1.0::DOUBLE, {2 * SAMPLE + 64}::DOUBLE / least(n, {POOL})) "
+        f"WHERE draw < least(1.0::DOUBLE, {2 * SAMPLE + 64}::DOUBLE / least(n, {POOL})) * {PRIME} "
         f"QUALIFY row_number() OVER (PARTITION BY tree ORDER BY draw, tripId) <= {SAMPLE}), "
         "walk0 AS (SELECT *, 1 AS node FROM points, (SELECT unnest(range(100)) AS tree))"
     )
