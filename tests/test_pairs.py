@@ -4,6 +4,7 @@ import pytest
 from fixtures import NEIGHBOUR_TOTALS, PAIR_ROWS, PAIR_SCHEMA, PAIR_TOTALS
 
 from triploom import neighbour_totals, pair_totals, ranked, top_k
+from triploom.operators.pairs import with_halo
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +75,29 @@ def test_neighbour_totals_match_brute_force(spark, depth):
     assert by_pair(neighbour_totals(df, depth)) == brute_force(rows, depth)
 
 
+@pytest.mark.parametrize(("depth", "block"), [(0, 4), (1, 4), (2, 4), (5, 7), (15, 512)])
+def test_squares_match_brute_force(spark, depth, block):
+    rng = random.Random(depth + 50)
+    ids = [None, *range(-20, 25)]
+    rows = [
+        (rng.choice(ids), rng.choice(ids), rng.choice([None, rng.randint(-900, 9900) / 4])) for _ in range(500)
+    ]
+    df = spark.createDataFrame(rows, PAIR_SCHEMA)
+    found = by_pair(neighbour_totals(df, depth, scale=2, block=block))
+    expected = brute_force(rows, depth)
+    assert found.keys() == expected.keys()
+    assert all(found[k] == (None if v is None else pytest.approx(v)) for k, v in expected.items())
+
+
+def test_rows_dont_grow_with_the_depth(spark):
+    totals = spark.range(20_000).selectExpr("(id * 7919) % 3000 AS pu", "(id * 104729) % 3000 AS do", "1 AS amount").distinct()
+    n = totals.count()
+    assert with_halo(totals, 1, 512).count() < 1.02 * n
+    assert with_halo(totals, 15, 512).count() < 1.3 * n
+    assert with_halo(totals, 900, 1_800).count() <= 4 * n
+    assert with_halo(totals, 15, 512).filter("own").count() == n
+
+
 def test_depth_zero_is_the_plain_total(spark, published):
     assert by_pair(neighbour_totals(published, 0, scale=2)) == PAIR_TOTALS
     with pytest.raises(ValueError):

@@ -4,6 +4,7 @@ from triploom.operators.chains import (
     trip_vertices,
     with_trip_id,
 )
+from triploom.operators.cycles import cycles, trip_cycles
 from triploom.operators.features import (
     assemble_features,
     enrich,
@@ -48,6 +49,7 @@ __all__ = [
     "chain_text",
     "count_by",
     "count_rows",
+    "cycles",
     "drop_outliers",
     "enrich",
     "exact_quantile",
@@ -72,6 +74,7 @@ __all__ = [
     "top_paths",
     "totals",
     "trip_chains",
+    "trip_cycles",
     "trip_vertices",
     "with_location",
     "with_trip_id",

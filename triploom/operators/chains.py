@@ -11,6 +11,7 @@ from triploom.operators.relaxation import BROADCAST_ROWS, hinted, positive_total
 from triploom.operators.skew import HOT_ROWS, Spread, split_hot_keys
 from triploom.schema import TRIP_COLUMNS, TripColumns
 from triploom.sources.checkpoints import cut_lineage
+from triploom.sources.row_ids import with_file_row_id
 
 BLOCK_ROWS = 500_000
 
@@ -18,13 +19,15 @@ BLOCK_ROWS = 500_000
 def with_trip_id(
     df: DataFrame, id_col: str | None = None, cols: TripColumns = TRIP_COLUMNS
 ) -> DataFrame:
-    """Add the trip id: an existing unique column, else row numbers from the layout.
+    """Add the trip id: an existing unique column, else row numbers in the order of the files.
 
-    The row numbers change when the input files or their splits do; store them with the
-    table when they must stay.
+    The row numbers depend on the files alone and not on their splits. A table that wasn't
+    read from files gets Spark's own numbers, which change with the layout; store them with
+    the table when they must stay.
     """
-    source = F.col(id_col).cast("long") if id_col else F.monotonically_increasing_id()
-    return df.withColumn(cols.trip_id, source)
+    if id_col:
+        return df.withColumn(cols.trip_id, F.col(id_col).cast("long"))
+    return with_file_row_id(df, cols.trip_id)
 
 
 def trip_vertices(

@@ -18,14 +18,8 @@ from triploom.operators.skew import Spread
 from triploom.sources.checkpoints import cut_lineage
 
 
-def runs_of(links: DataFrame) -> DataFrame:
-    """``(id, head, a, b)`` for every vertex of a run but its head.
-
-    ``links`` has a row ``(id, dst, weight)`` per edge, ``weight`` being what the edge adds
-    to the sum at ``id``. Each round doubles the reach of the pointers, so a run of L
-    vertices takes about log₂ L rounds. A run that is closed to a circle has no head; its
-    vertices are left out.
-    """
+def single_steps(links: DataFrame) -> DataFrame:
+    """The edges ``(id, dst, a)`` whose source has no other and whose target is in no other."""
     one_after = (
         links.groupBy("id")
         .agg(F.count(F.lit(1)).alias("n"), F.max("dst").alias("dst"), F.max("weight").alias("a"))
@@ -34,8 +28,19 @@ def runs_of(links: DataFrame) -> DataFrame:
     )
     one_before = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id"))
     steps = one_after.join(one_before.filter("n = 1").drop("n"), ["id", "dst"])
+    return steps.filter("id != dst")
+
+
+def runs_of(links: DataFrame) -> DataFrame:
+    """``(id, head, a, b)`` for every vertex of a run but its head.
+
+    ``links`` has a row ``(id, dst, weight)`` per edge, ``weight`` being what the edge adds
+    to the sum at ``id``. Each round doubles the reach of the pointers, so a run of L
+    vertices takes about log₂ L rounds. A run that is closed to a circle has no head; its
+    vertices are left out.
+    """
     waiting = cut_lineage(
-        steps.filter("id != dst").select(
+        single_steps(links).select(
             F.col("dst").alias("id"), F.col("id").alias("head"), "a", F.lit(0.0).alias("b")
         )
     )

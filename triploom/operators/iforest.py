@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from triploom.operators.quantile import label_above, outlier_threshold
 from triploom.sources.checkpoints import cut_lineage
+from triploom.sources.stages import read_stage, write_stage
 
 # executors get the functions below with the task and need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -247,32 +248,26 @@ class ForestModel:
             self.score(df), self.score_col, self.threshold, self.label_col
         )
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """Write the node table and a one-row table of parameters, replacing ``path``."""
+    def save(self, spark: SparkSession, path: str, digest: str | None = None) -> None:
+        """Replace ``path`` by the nodes, each with the forest's parameters: one table, one commit."""
+        row = {
+            "sample_size": F.lit(self.sample_size),
+            "contamination": F.lit(self.contamination),
+            "threshold": F.lit(self.threshold).cast("double"),
+            **{c: F.lit(getattr(self, c)) for c in ("features_col", "score_col", "label_col")},
+        }
         nodes = spark.createDataFrame(self.nodes, NODE_SCHEMA)
-        nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
-        row = (
-            self.sample_size,
-            self.contamination,
-            self.threshold,
-            self.features_col,
-            self.score_col,
-            self.label_col,
-        )
-        schema = (
-            "sample_size int, contamination double, threshold double, "
-            "features_col string, score_col string, label_col string"
-        )
-        params = spark.createDataFrame([row], schema)
-        params.coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+        write_stage(nodes.withColumns(row).coalesce(1), path, digest)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ForestModel:
-        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
-        params = spark.read.parquet(f"{path}/params").first().asDict()
-        return ForestModel(
-            nodes.sort_values(["tree", "node"], ignore_index=True), **params
-        )
+        """The newest whole forest below ``path``."""
+        rows = read_stage(spark, path).toPandas()
+        names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
+        nodes = rows[names].sort_values(["tree", "node"], ignore_index=True)
+        params = rows.drop(columns=names).iloc[0].to_dict()
+        threshold = params.pop("threshold")
+        return ForestModel(nodes, threshold=None if pd.isna(threshold) else threshold, **params)
 
     def _packed(self) -> dict[str, np.ndarray]:
         """All trees as flat arrays; child links become positions in them."""

@@ -66,7 +66,7 @@ def checked_count(df: DataFrame, value: str, ceiling: float) -> int:
     """The number of rows; raises if a value proves that the graph has a cycle."""
     count, top = df.agg(F.count(F.lit(1)), F.max(value)).first()
     if top is not None and top > ceiling * (1 + ROUNDING):
-        raise RuntimeError("a chain outweighs all trips together: the graph has a cycle")
+        raise RuntimeError("a chain outweighs all trips together: the graph has a cycle (cycles() names its trips)")
     return count
 
 

@@ -88,14 +88,14 @@ EDGES = (
 )
 
 
-def _chains(weight: str) -> str:
+def _chains(weight: str, edges: str = EDGES, extra: str = "0.0::DOUBLE") -> str:
     return (
-        f"WITH RECURSIVE {EDGES}, weighted AS (SELECT tripId, {weight} AS w FROM trips), "
+        f"WITH RECURSIVE {edges}, weighted AS (SELECT tripId, {weight} AS w FROM trips), "
         "paths(id, total) AS (SELECT tripId, w FROM weighted UNION ALL "
-        "SELECT e.dst, t.w + p.total FROM paths p JOIN edges e ON p.id = e.src "
+        f"SELECT e.dst, t.w + (p.total + {extra}) FROM paths p JOIN edges e ON p.id = e.src "
         "JOIN weighted t ON t.tripId = e.dst), "
         "best AS (SELECT id, max(total) AS total FROM paths GROUP BY id), "
-        "offers AS (SELECT e.dst, e.src, b.total FROM edges e JOIN best b ON b.id = e.src), "
+        f"offers AS (SELECT e.dst, e.src, b.total + {extra} AS total FROM edges e JOIN best b ON b.id = e.src), "
         "tops AS (SELECT dst, max(total) AS top FROM offers GROUP BY dst), "
         "fathers AS (SELECT o.dst, min(o.src) AS father FROM offers o JOIN tops t "
         "ON o.dst = t.dst AND o.total = t.top WHERE t.top > 0 GROUP BY o.dst), "
@@ -105,6 +105,10 @@ def _chains(weight: str) -> str:
 
 
 ALL_CHAINS = "SELECT * FROM chains"
+WAITED = (
+    "-floor(date_diff('second', date_trunc('second', a.tpep_dropoff_datetime), "
+    "date_trunc('second', b.tpep_pickup_datetime)) / 7200.0::DOUBLE)"
+)
 
 TREES, SAMPLE, LEVELS, SEED, POOL, PRIME = 100, 256, 8, 1, 4 * 100 * 256, (1 << 31) - 1
 
@@ -289,6 +293,24 @@ ORACLES: dict[str, str] = {
     ),
     "trip_chains_distance": f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')} {ALL_CHAINS}",
     "trip_chains_trips": f"{_chains('1.0::DOUBLE')} {ALL_CHAINS}",
+    "chains_waiting": _chains(
+        "1.0::DOUBLE",
+        EDGES.replace("b.tripId AS dst ", f"b.tripId AS dst, {WAITED} AS nb ", 1),
+        "e.nb",
+    )
+    + f" {ALL_CHAINS}",
+    "place_cycles": (
+        f"WITH RECURSIVE trips AS ({EVENT_TRIPS_SQL}), steps AS (SELECT DISTINCT PULocationID AS a, DOLocationID AS b "
+        "FROM trips WHERE tpep_dropoff_datetime < tpep_pickup_datetime), "
+        "reach(a, b) AS (SELECT a, b FROM steps UNION SELECT r.a, s.b FROM reach r JOIN steps s ON r.b = s.a) "
+        "SELECT least(x.a, min(x.b)) AS cycle, x.a AS place FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a"
+    ),
+    "file_row_ids": "SELECT event_id, row_number() OVER () - 1 AS tripId FROM events",
+    "csv_round_trip": (
+        f"{WITH_TRIPS} SELECT * EXCLUDE (tpep_pickup_datetime, tpep_dropoff_datetime), "
+        "CAST(epoch(date_trunc('second', tpep_pickup_datetime)) AS BIGINT) AS pickup_s, "
+        "CAST(epoch(date_trunc('second', tpep_dropoff_datetime)) AS BIGINT) AS dropoff_s FROM trips"
+    ),
     "chain_path": (
         f"{_chains('coalesce(trip_distance, 0.0::DOUBLE)')}, ends AS (SELECT tripID, row_number() OVER "
         "(ORDER BY longestDistance DESC, tripID) AS chain FROM chains "

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +22,7 @@ from triploom.operators import (
 from triploom.operators.features import feature_columns
 from triploom.operators.pairs import STRUCT_KEY
 from triploom.schema import TRIP_COLUMNS
-from triploom.sources import read_stage, read_trips, write_stage
+from triploom.sources import digest_of, is_current, read_stage, read_trips, stage_digest, write_stage
 
 ALL_STAGES = ("prepare", "train", "predict", "clean", "top_pairs", "top_neighbours")
 
@@ -78,25 +78,39 @@ class PipelineParams:
 
 
 def run_pipeline(
-    spark: SparkSession, params: PipelineParams, stages: Sequence[str] = ALL_STAGES
+    spark: SparkSession,
+    params: PipelineParams,
+    stages: Sequence[str] = ALL_STAGES,
+    resume: bool = True,
 ) -> dict[str, DataFrame]:
     """Run the chosen stages in order; returns each one's result table.
 
     A stage reads the files of the stage before it, so any stage can run alone once its
-    predecessor has. ``predict`` gives the outliers, the two ``top`` stages the ranked
-    pairs; ``train`` only saves its model.
+    predecessor has. Outputs are replaced as a whole, and with ``resume`` a stage whose
+    newest output was made from the same input and parameters is not run again: a rerun
+    after a failure goes on where the last whole stage ended. ``predict`` gives the
+    outliers, the two ``top`` stages the ranked pairs; ``train`` only saves its model.
     """
     if unknown := set(stages) - set(ALL_STAGES):
         raise ValueError(f"unknown stages {sorted(unknown)}; choose from {ALL_STAGES}")
     results: dict[str, DataFrame] = {}
-    if "prepare" in stages:
+
+    def due(stage: str, path: str, *sources: str) -> str | None:
+        """The digest of what the stage is made from, or None if it need not run."""
+        if stage not in stages:
+            return None
+        digest = digest_of(stage, asdict(params), *(stage_digest(spark, s) for s in sources))
+        return None if resume and is_current(spark, path, digest) else digest
+
+    if digest := due("prepare", params.enriched_path, params.trips_path):
         trips = read_trips(
             spark, params.trips_path, params.trips_format, params.infer_schema
         )
         trips = with_trip_id(trips, params.id_col)
-        write_stage(prepare(trips, params.features), params.enriched_path)
+        write_stage(prepare(trips, params.features), params.enriched_path, digest)
+    if "prepare" in stages:
         results["prepare"] = read_stage(spark, params.enriched_path)
-    if "train" in stages:
+    if digest := due("train", params.model_path, params.enriched_path):
         model = fit_isolation_forest(
             read_stage(spark, params.enriched_path),
             id_col=TRIP_COLUMNS.trip_id,
@@ -105,15 +119,17 @@ def run_pipeline(
             contamination=params.contamination,
             seed=params.seed,
         )
-        model.save(spark, params.model_path)
-    if "predict" in stages:
+        model.save(spark, params.model_path, digest)
+    if digest := due("predict", params.predicted_path, params.enriched_path, params.model_path):
         model = ForestModel.load(spark, params.model_path)
         enriched = read_stage(spark, params.enriched_path)
-        write_stage(model.transform(enriched), params.predicted_path)
+        write_stage(model.transform(enriched), params.predicted_path, digest)
+    if "predict" in stages:
         results["predict"] = outliers(read_stage(spark, params.predicted_path))
-    if "clean" in stages:
+    if digest := due("clean", params.cleaned_path, params.predicted_path):
         predicted = read_stage(spark, params.predicted_path)
-        write_stage(drop_outliers(predicted), params.cleaned_path)
+        write_stage(drop_outliers(predicted), params.cleaned_path, digest)
+    if "clean" in stages:
         results["clean"] = read_stage(spark, params.cleaned_path)
     if "top_pairs" in stages:
         cleaned = read_stage(spark, params.cleaned_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +17,7 @@ from triploom.operators import (
     chain_text,
     count_by,
     count_rows,
+    cycles,
     drop_outliers,
     enrich,
     fit_isolation_forest,
@@ -37,6 +39,7 @@ from triploom.operators import (
     trip_chains,
     trip_vertices,
     with_location,
+    with_trip_id,
 )
 from triploom.operators.iforest import forest_samples, grow_trees
 from triploom.operators.pairs import STRUCT_KEY
@@ -47,7 +50,7 @@ from triploom.plans.views import (
     order_trips,
 )
 from triploom.schema import SUMMARY_COLUMNS
-from triploom.sources import cut_lineage
+from triploom.sources import cut_lineage, ensure_checkpoint_dir, read_trips, write_csv
 
 PAIR = ["PULocationID", "DOLocationID"]
 ENRICHED = [*PAIR, "passenger_count", "trip_distance", "total_amount", "trip_duration"]
@@ -247,6 +250,40 @@ def direct_chains(weight: str) -> Query:
     return query
 
 
+def chains_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains by trips whose edges carry a weight of their own: a trip lost for every two hours of waiting."""
+    trips = event_trips(spark, sf_dir)
+    ends = trips.select(F.col("tripId").alias("src"), epoch_seconds("tpep_dropoff_datetime").alias("ended"))
+    starts = trips.select(F.col("tripId").alias("dst"), epoch_seconds("tpep_pickup_datetime").alias("began"))
+    edges = _event_edges(spark, sf_dir).join(ends, "src").join(starts, "dst")
+    lost = -F.floor((F.col("began") - F.col("ended")) / 7200).cast("double")
+    edges = edges.select("src", "dst", lost.alias("nb"))
+    return longest_chains(trip_vertices(trips), edges, "count", edge_weight="nb")
+
+
+def place_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places on a round trip of trips that end before they start: only such can close a chain."""
+    trips = event_trips(spark, sf_dir).filter("tpep_dropoff_datetime < tpep_pickup_datetime")
+    edges = trips.select(F.col("PULocationID").alias("src"), F.col("DOLocationID").alias("dst"))
+    return cycles(edges).withColumnRenamed("tripID", "place")
+
+
+def file_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip ids from the order of the file."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return with_trip_id(events).select("event_id", "tripId")
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips written as CSV to the shared folder and read back by the fixed schema."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
+    write_csv(order_trips(spark, sf_dir), path)
+    times = {"pickup_s": epoch_seconds("tpep_pickup_datetime"), "dropoff_s": epoch_seconds("tpep_dropoff_datetime")}
+    rows = read_trips(spark, path).withColumns(times)
+    return rows.drop("tpep_pickup_datetime", "tpep_dropoff_datetime")
+
+
 def ranked_pair_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(pair_totals_columns(spark, sf_dir), "total_amount", PAIR)
 
@@ -297,6 +334,10 @@ QUERIES: dict[str, Query] = {
     "chains_trips": graph_chains("count"),
     "trip_chains_distance": direct_chains("distance"),
     "trip_chains_trips": direct_chains("count"),
+    "chains_waiting": chains_waiting,
+    "place_cycles": place_cycles,
+    "file_row_ids": file_row_ids,
+    "csv_round_trip": csv_round_trip,
     "ranked_pair_totals": ranked_pair_totals,
     "ranked_chains": ranked_chains,
     "chain_path": chain_path,

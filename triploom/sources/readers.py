@@ -1,4 +1,4 @@
-"""Scans: trips, locations, graph tables and stage outputs."""
+"""Scans: trips, locations and graph tables."""
 
 from __future__ import annotations
 
@@ -81,8 +81,3 @@ def read_edges(spark: SparkSession, path: str, attribute: str | None = None) ->
     if attribute:
         columns.append(F.col(raw.columns[2]).cast("double").alias(attribute))
     return raw.select(*columns)
-
-
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """Reload the parquet output of a pipeline stage."""
-    return spark.read.parquet(path)

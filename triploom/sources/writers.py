@@ -1,15 +1,10 @@
-"""Sinks: stage outputs as parquet, graph tables as CSV."""
+"""Sinks: graph tables and trips as CSV."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def write_stage(df: DataFrame, path: str) -> None:
-    """Replace a pipeline stage's parquet output."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write CSV with a header; ``single_file`` is for small graph fixtures only."""
     out = df.coalesce(1) if single_file else df
