@@ -120,6 +120,22 @@ def test_decontamination_matches_all_windows(spark):
     assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in got.collect()} == brute_matches(docs, items)
 
 
+def test_windows_between_aligned_starts_are_laid(spark):
+    """Both ends edited and words inserted: the best window is at no shared shingle's offset. Or the halves swapped."""
+    rng = random.Random(8)
+    items, docs = [], []
+    for i in range(6):
+        words = sentence(rng, 59).split()
+        items.append((i, " ".join(words)))
+        edited = ["first", *words[1:29], "one", "two", *words[29:-1], "last"]
+        docs.append((2 * i, " ".join([*sentence(rng, 3 * i).split(), *edited, *sentence(rng, 9).split()])))
+        docs.append((2 * i + 1, " ".join([*sentence(rng, 4).split(), *words[30:], *words[:30], "end"])))
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    expected = brute_matches(docs, items)
+    assert len(expected) == 12
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in got.collect()} == expected
+
+
 def test_decontamination_odd_input(spark):
     docs, items = odd_docs(spark), spark.createDataFrame([(1, "short text", 0), (2, None, 0)], "item_id long, text string, doc_id int")
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs, items).collect()] == [(10, 1)]
@@ -165,6 +181,13 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_urls_come_back_as_they_were(spark):
+    urls = ["http://a/b  c\x1c d", " lead", "trail\t", "x%20y", "a b%20c%", "ü ä\u00a0ö", "", None, "http://plain/?q=1#f", "line\r\nbreak: x", "\x00"]
+    pages = [(i, u, f"page {i % 4}") for i, u in enumerate(urls)]
+    manifest = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), shared_folder(spark, "t"))
+    assert {r["page_id"]: r["url"] for r in warc.read_archives(manifest).collect()} == dict(enumerate(urls))
+
+
 @pytest.mark.parametrize("change", ["cut", "length", "digest", "magic", "header", "type"])
 def test_warc_reader_rejects(change):
     record = warc.record_bytes(1, "http://a", b"payload", None)
@@ -303,6 +326,22 @@ def test_hnsw_odd_input(spark):
     assert hnsw.nearest(df.limit(0), "vec_id", "embedding", "id % 20 = 0", 20).count() == 0
 
 
+def test_hnsw_recall_with_norms_far_apart(spark):
+    """Norms over six powers of ten: the small vectors must not drown in the added component."""
+    rng = np.random.default_rng(9)
+    points = rng.normal(size=(1_500, 24))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    points[::100] *= np.logspace(-2, 4, 15)[:, None]
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in hnsw.nearest(df, "vec_id", "embedding", "id % 20 = 0", 20).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    scores = points @ points.T
+    np.fill_diagonal(scores, -np.inf)
+    hits = [len(found[q] & set(np.argsort(-scores[q])[:20].tolist())) for q in range(0, 1_500, 20)]
+    assert sum(hits) / (20 * len(hits)) >= 0.9
+
+
 def test_hnsw_dump_and_load():
     points = np.random.default_rng(3).normal(size=(400, 8))
     graph = hnsw.Graph(points)
@@ -597,3 +636,15 @@ def test_passages_odd_input(spark):
     got = suffix_dups.repeated_passages(odd_docs(spark)).collect()
     assert {(r["doc_id"], r["start_word"], r["n_words"]) for r in got} == {(4, 0, 130), (5, 0, 130), (6, 0, 130)}
     assert suffix_dups.repeated_passages(no_docs(spark)).count() == 0
+
+
+def test_passages_of_documents_with_several_texts(spark):
+    """A repeated doc_id whose one text is a copy keeps the passages of its other text."""
+    rng = random.Random(14)
+    shared, a = sentence(rng, 60), sentence(rng, 70)
+    b, c = f"{sentence(rng, 11)} {shared} {sentence(rng, 30)}", f"{sentence(rng, 25)} {shared}"
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (3, c)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["start_word"], r["n_words"]) for r in suffix_dups.repeated_passages(docs).collect())
+    assert got == [(1, 0, 70), (2, 0, 70), (2, 11, 60), (3, 25, 60)]
+    alone = spark.createDataFrame([(2, b), (2, c)], "doc_id long, text string")
+    assert suffix_dups.repeated_passages(alone).count() == 0

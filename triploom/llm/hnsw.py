@@ -32,7 +32,7 @@ class Graph:
     """A hierarchical navigable small-world graph over the rows of ``points`` (L2 distance)."""
 
     def __init__(self, points: np.ndarray, links: int = LINKS, width: int = BUILD_WIDTH) -> None:
-        self.points, self.links, self.width = np.ascontiguousarray(points, np.float32), links, width
+        self.points, self.links, self.width = np.ascontiguousarray(points, np.float64), links, width
         n = len(points)
         draws = np.random.default_rng(n).random(n)
         self.levels = np.minimum((-np.log(1 - draws) / math.log(links)).astype(np.int32), 12) if n else np.empty(0, np.int32)
@@ -162,7 +162,8 @@ def _builder(folder: str, longest: float):
         dim, shard = key
         rows = rows.sort_values("rep")
         points = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-        # one more component makes the smallest distance the largest inner product
+        # one more component makes the smallest distance the largest inner product; it may be
+        # far larger than the others, which single precision would then lose
         rest = np.sqrt(np.maximum(longest**2 - (points**2).sum(axis=1), 0))
         graph = Graph(np.c_[points, rest])
         files, path = open_folder(folder)
@@ -187,7 +188,7 @@ def _searcher(count: int):
         found = []
         for query, vector in zip(rows["query"].to_numpy(), rows["vector"], strict=True):
             exact = np.asarray(vector, np.float64)
-            at = graph.nearest(np.append(exact, 0).astype(np.float32), count)
+            at = graph.nearest(np.append(exact, 0), count)
             scores = data["original"][at] @ exact
             found.append(pd.DataFrame({"query": query, "rep": data["reps"][at], "score": scores}))
         return pd.concat(found)

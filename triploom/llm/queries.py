@@ -135,8 +135,8 @@ doc_shingles AS (
           FROM docs, (SELECT DISTINCT k FROM item_shingles) WHERE len(words) >= k)
 ),
 windows AS (
-    SELECT DISTINCT doc_id, k, m, n, greatest(0, least(pos - o, n - m)) AS start
-    FROM doc_shingles JOIN item_shingles USING (k, shingle)
+    SELECT DISTINCT doc_id, k, m, n, unnest(range(greatest(0, least(pos - m + 1, n - m)), greatest(0, least(pos, n - m)) + 1)) AS start
+    FROM (SELECT DISTINCT doc_id, k, m, n, pos FROM doc_shingles JOIN item_shingles USING (k, shingle))
 ),
 window_counts AS (
     SELECT w.doc_id, w.k, w.m, w.n, w.start, shingle, count(*) AS c
@@ -170,19 +170,19 @@ SELECT page_id, url, strlen(payload) AS payload_bytes,
 FROM payloads
 """,
     "op10_repeated_passages": f"""
-WITH docs AS (SELECT doc_id, {WORDS.format(text="text")} AS words FROM documents WHERE doc_id IS NOT NULL),
+WITH docs AS (SELECT DISTINCT doc_id, md5(text) AS nth, {WORDS.format(text="text")} AS words FROM documents WHERE doc_id IS NOT NULL),
 windows AS (
-    SELECT doc_id, start, md5(array_to_string(words[start + 1 : start + 50], ' ')) AS content
+    SELECT doc_id, nth, start, md5(array_to_string(words[start + 1 : start + 50], ' ')) AS content
     FROM (SELECT *, unnest(range(len(words) - 49)) AS start FROM docs WHERE len(words) >= 50)
 ),
 found AS (
-    SELECT DISTINCT doc_id, start
+    SELECT DISTINCT doc_id, nth, start
     FROM windows JOIN (SELECT content FROM windows GROUP BY content HAVING min(doc_id) < max(doc_id)) USING (content)
 ),
-marked AS (SELECT *, coalesce((start > lag(start) OVER w + 50)::INTEGER, 1) AS fresh FROM found WINDOW w AS (PARTITION BY doc_id ORDER BY start)),
-numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS passage FROM marked)
+marked AS (SELECT *, coalesce((start > lag(start) OVER w + 50)::INTEGER, 1) AS fresh FROM found WINDOW w AS (PARTITION BY doc_id, nth ORDER BY start)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, nth ORDER BY start) AS passage FROM marked)
 SELECT doc_id, min(start)::INTEGER AS start_word, (max(start) - min(start) + 50)::INTEGER AS n_words
-FROM numbered GROUP BY doc_id, passage
+FROM numbered GROUP BY doc_id, nth, passage
 """,
     "op12_fill_in_middle": r"""
 WITH cut AS (

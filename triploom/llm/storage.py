@@ -59,6 +59,6 @@ def small(df: DataFrame, row_bytes: int) -> bool:
     return df.limit(BROADCAST_BYTES // row_bytes + 1).count() <= BROADCAST_BYTES // row_bytes
 
 
-def only(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id") -> DataFrame:
+def only(docs: DataFrame, ids: DataFrame, how: str, key: str | list[str] = "doc_id") -> DataFrame:
     """Semi or anti join by ``key``; ``docs`` isn't shuffled if the ids surely fit a broadcast."""
     return docs.join(F.broadcast(ids) if small(ids, 64) else ids, key, how)

@@ -16,14 +16,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triploom.llm.storage import only, stored
+from triploom.llm.storage import only, small, stored
 
 LENGTH = 50
 BLOCK = 26
 CACHE_WORDS = 300_000
+TEXT = ["doc_id", "nth"]
+SUFFIX = [*TEXT, "at", "lead"]
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
@@ -98,12 +100,11 @@ def _suffixes(length: int, block: int):
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 rows = []
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("_bytes").to_pylist(), strict=True):
+                for doc, nth, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "nth", "_bytes")), strict=True):
                     hashes = hasher.runs(hasher.words(text), block)
                     at = minimisers(hashes, length - block + 1)
-                    rows.append((np.full(len(at), doc, np.int64), at.astype(np.int32), hashes[at]))
-                doc, at, hashes = (np.concatenate(c) for c in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), pa.array(hashes.view(np.int64))], names=["doc_id", "at", "lead"])
+                    rows.append((np.full(len(at), doc, np.int64), np.full(len(at), nth, np.int64), at.astype(np.int32), hashes[at].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names=["doc_id", "nth", "at", "lead"])
 
     return run
 
@@ -111,43 +112,43 @@ def _suffixes(length: int, block: int):
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a sorted partition the suffixes with an equal neighbour, and its two end rows."""
 
-    def out(doc, at, lead, end) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(lead, pa.int64()), pa.array(end, pa.bool_())], names=["doc_id", "at", "lead", "end"])
+    def out(rows, end) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(rows, kinds, strict=True)), pa.array(end, pa.bool_())], names=[*SUFFIX, "end"])
 
     held = None  # the last row of the batch before, and whether it is a match
     for batch in batches:
         if not batch.num_rows:
             continue
-        doc, at, lead = (batch.column(c).to_numpy() for c in ("doc_id", "at", "lead"))
+        rows = [batch.column(c).to_numpy() for c in SUFFIX]
         if held is None:
-            yield out(doc[:1], at[:1], lead[:1], [True])
+            yield out([c[:1] for c in rows], [True])
         else:
-            doc, at, lead = np.r_[held[0], doc], np.r_[held[1], at], np.r_[held[2], lead]
-        same = lead[1:] == lead[:-1]
-        match = np.r_[same, False] | np.r_[held[3] if held else False, same]
-        yield out(doc[:-1][match[:-1]], at[:-1][match[:-1]], lead[:-1][match[:-1]], np.zeros(match[:-1].sum(), bool))
-        held = doc[-1:], at[-1:], lead[-1:], bool(match[-1])
+            rows = [np.r_[h, c] for h, c in zip(held[0], rows, strict=True)]
+        same = rows[-1][1:] == rows[-1][:-1]
+        match = np.r_[same, False] | np.r_[held[1] if held else False, same]
+        yield out([c[:-1][match[:-1]] for c in rows], np.zeros(match[:-1].sum(), bool))
+        held = [c[-1:] for c in rows], bool(match[-1])
     if held is not None:
-        doc, at, lead, match = held
-        yield out(doc, at, lead, [True])
-        if match:
-            yield out(doc, at, lead, [False])
+        yield out(held[0], [True])
+        if held[1]:
+            yield out(held[0], [False])
 
 
 def matched_suffixes(docs: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
-    """``doc_id`` and ``at`` of the kept suffixes whose leading block occurs once more.
+    """``doc_id``, ``nth`` (the text) and ``at`` of the kept suffixes whose leading block occurs once more.
 
     Ties are sorted by document and position, so a block that a third of all suffixes start
     with spreads over many partitions; the end rows of partitions are compared apart.
     """
-    suffixes = stored(docs.mapInArrow(_suffixes(length, block), "doc_id long, at int, lead long"), "suffixes")
+    suffixes = stored(docs.mapInArrow(_suffixes(length, block), "doc_id long, nth long, at int, lead long"), "suffixes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["lead", "doc_id", "at"]
-    compared = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, "doc_id long, at int, lead long, end boolean")
+    order = ["lead", *TEXT, "at"]
+    compared = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, "doc_id long, nth long, at int, lead long, end boolean")
     compared = stored(compared, "neighbours")
     ends = compared.filter("end").select(*order).distinct()
     shared = ends.groupBy("lead").agg(F.count("*").alias("_n")).filter("_n > 1").select("lead")
-    matches = compared.filter("not end").select("doc_id", "at").unionByName(ends.join(shared, "lead", "left_semi").select("doc_id", "at"))
+    matches = compared.filter("not end").select(*TEXT, "at").unionByName(ends.join(shared, "lead", "left_semi").select(*TEXT, "at"))
     return matches.distinct()
 
 
@@ -166,10 +167,8 @@ def _windows(length: int, block: int):
                 np.add.at(edge, np.clip(at + 1, 0, count), -1)
                 start = np.flatnonzero(np.cumsum(edge)[:count] > 0)
                 one, two = (hasher.runs(words, length, f)[start].view(np.int64) for f in FACTORS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(start), batch.column("doc_id")[i].as_py(), np.int64)), pa.array(start.astype(np.int32)), pa.array(one), pa.array(two)],
-                    names=["doc_id", "start", "one", "two"],
-                )
+                text = [pa.array(np.full(len(start), batch.column(c)[i].as_py(), np.int64)) for c in TEXT]
+                yield pa.RecordBatch.from_arrays([*text, pa.array(start.astype(np.int32)), pa.array(one), pa.array(two)], names=[*TEXT, "start", "one", "two"])
 
     return run
 
@@ -189,27 +188,38 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, block: int = BLOCK)
     Words are what stands between ASCII white space. The result has a row per passage:
     ``doc_id``, ``start_word`` (from 0) and ``n_words``. A passage is a run of windows of
     ``length`` words, each of which occurs elsewhere, that overlap or touch. Shorter, empty and NULL texts
-    have none. Rows without a doc_id are left out, and rows that share one are one
-    document. No limit is set on the number of copies.
+    have none. Rows without a doc_id are left out. Rows that share one count as one document
+    where copies are looked for, but each of their different texts has its own passages;
+    repeated rows say nothing new. No limit is set on the number of copies.
 
     Equal texts are one passage each, from end to end; only the first of them enters the
     suffix array, in which the others would repeat all that it says.
     """
     docs = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("_bytes"))
     digests = stored(docs.mapInArrow(_digests, "doc_id long, digest binary, n_words int").filter(F.col("n_words") >= length), "digests")
+    # Texts of one document are told apart by 64 bits of their digests; other documents have
+    # the text 0, so that the tables of all suffixes hold no digests.
+    several = stored(digests.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a != b").select("doc_id", F.lit(True).alias("_several")), "several-texts")
+    several = F.broadcast(several) if small(several, 64) else several
+
+    def told_apart(rows: DataFrame, digest: Column) -> DataFrame:
+        nth = F.conv(F.substring(F.hex(digest), 1, 16), 16, -10).cast("long")
+        return rows.join(several, "doc_id", "left").withColumn("nth", F.when(F.col("_several"), nth).otherwise(F.lit(0).cast("long"))).drop("_several")
+
     alike = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    copies = stored(digests.join(alike, "digest").distinct(), "copies")
-    docs = only(docs, stored(copies.filter("doc_id > first").select("doc_id").distinct(), "later-copies"), "left_anti")
-    matches = stored(matched_suffixes(docs, length, block).groupBy("doc_id").agg(F.collect_list("at").alias("at")), "matches")
-    rows = only(docs, matches.select("doc_id"), "left_semi").join(matches, "doc_id")
-    windows = rows.mapInArrow(_windows(length, block), "doc_id long, start int, one long, two long")
+    copies = stored(told_apart(digests.join(alike, "digest").distinct(), F.col("digest")), "copies")
+    docs = told_apart(docs, F.unhex(F.sha2("_bytes", 256)))
+    docs = only(docs, stored(copies.filter("doc_id > first").select(*TEXT).distinct(), "later-copies"), "left_anti", TEXT)
+    matches = stored(matched_suffixes(docs, length, block).groupBy(*TEXT).agg(F.collect_list("at").alias("at")), "matches")
+    rows = only(docs, matches.select(*TEXT), "left_semi", TEXT).join(matches, TEXT)
+    windows = rows.mapInArrow(_windows(length, block), "doc_id long, nth long, start int, one long, two long")
     holders = windows.groupBy("one", "two").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
     # Written out, so that Spark can split the join at a window that many documents share.
     holders = stored(holders.select("one", "two"), "holders")
-    found = stored(windows.join(holders, ["one", "two"]).select("doc_id", "start"), "found").distinct()
-    order = Window.partitionBy("doc_id").orderBy("start")
+    found = stored(windows.join(holders, ["one", "two"]).select(*TEXT, "start"), "found").distinct()
+    order = Window.partitionBy(*TEXT).orderBy("start")
     fresh = F.coalesce((F.col("start") > F.lag("start").over(order) + length).cast("int"), F.lit(1))
     passages = found.withColumn("_new", fresh).withColumn("_passage", F.sum("_new").over(order))
-    passages = passages.groupBy("doc_id", "_passage").agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words")).drop("_passage")
-    single = passages.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+    passages = passages.groupBy(*TEXT, "_passage").agg(F.min("start").alias("start_word"), (F.max("start") - F.min("start") + length).alias("n_words")).drop("_passage")
+    single = passages.join(copies.select(*TEXT).distinct(), TEXT, "left_anti").drop("nth")
     return single.unionByName(copies.select("doc_id", F.lit(0).alias("start_word"), "n_words"))

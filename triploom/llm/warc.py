@@ -7,6 +7,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -20,6 +21,9 @@ ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 PAGE = "urn:triploom:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
+#: Marks a record whose URI was escaped because it held white space or control characters.
+ESCAPED = "X-Target-URI-Escaped"
+PLAIN = "!#$&'()*+,/:;=?@[]~"
 ROLL_BYTES = 64 << 20
 CHUNK = 1 << 20
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 800, 8 << 10, 64 << 10
@@ -83,7 +87,10 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, first: in
         ("Content-Length", str(len(block))),
     ]
     if url is not None:
-        fields.insert(3, ("WARC-Target-URI", " ".join(url.split())))
+        plain = url.isprintable() and " " not in url
+        fields.insert(3, ("WARC-Target-URI", url if plain else quote(url, safe=PLAIN)))
+        if not plain:  # white space would be lost, so it is escaped; other URLs stand as they are
+            fields.append((ESCAPED, "yes"))
     if revisit:
         fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{PAGE}{first}>")]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
@@ -237,7 +244,10 @@ def parse_record(record: bytes) -> tuple:
             raise WarcError("a revisit needs WARC-Refers-To and has no payload")
     else:
         raise WarcError(f"unknown record type {kind}")
-    return (_page(fields["warc-record-id"]), fields.get("warc-target-uri"), size, digest, kind, _page(refers) if refers else None, payload if kind == "response" else None)
+    url = fields.get("warc-target-uri")
+    if url is not None and ESCAPED.lower() in fields:
+        url = unquote(url)
+    return (_page(fields["warc-record-id"]), url, size, digest, kind, _page(refers) if refers else None, payload if kind == "response" else None)
 
 
 def _reader(with_payload: bool):
