@@ -68,7 +68,7 @@ class PieceEncoder:
         self._first: dict[str, bytes | None] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.width).tobytes() for e in found]
 
     def _cut_tail(self, piece: str) -> str:
@@ -115,7 +115,8 @@ class PieceEncoder:
         size = np.dtype(self.width).itemsize
         for start in range(0, len(plain), TOGETHER):
             part = plain[start : start + TOGETHER]
-            ids = np.array(self._tokenizer.encode("".join(part), add_special_tokens=False).ids, dtype=self.width)
+            whole = self._tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0]
+            ids = np.array(whole.ids, dtype=self.width)
             begins = np.flatnonzero(self._spaced[ids])
             names = [p.removeprefix(" ") for p in part]
             if len(begins) != len(part):
