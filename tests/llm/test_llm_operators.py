@@ -485,18 +485,31 @@ def test_best_fit_is_what_single_placing_gives():
     for _ in range(40):
         sizes = sorted({rng.randint(0, 60) for _ in range(12)}, reverse=True)
         counts = [rng.randint(1, 9) for _ in sizes]
-        room = []
+        room, used = [], []
         for size, count in zip(sizes, counts, strict=True):
             for _ in range(count):
                 fits = [(r, i) for i, r in enumerate(room) if r >= size]
                 if not fits:
-                    room.append(50 if size <= 50 else size)
+                    room.append(max(50, size))
+                    used.append(0)
                     fits = [(room[-1], len(room) - 1)]
                 room[min(fits)[1]] -= size
+                used[min(fits)[1]] += size
         left = defaultdict(int)
         for i, number, fit in packing.best_fit(sizes, counts, 50):
             left[number] += fit * sizes[i]
-        assert len(left) == len(room) and sorted(left.values()) == sorted(max(50, 0) - r if r >= 0 else 0 for r in room) or max(sizes) > 50
+        assert sorted(left.values()) == sorted(used)
+
+
+def test_no_shard_exceeds_a_capacity(spark):
+    rng = random.Random(16)
+    sizes = [rng.randrange(1 << 20, 2 << 20) for _ in range(1_500)] + [20 << 20]
+    groups = spark.createDataFrame(list(enumerate(sizes)), "name long, bytes long")
+    filled = Counter()
+    for r in packing.packed_groups(groups, "bytes", ["name"], capacity=16 << 20).collect():
+        filled[r["shard"]] += r["bytes"]
+    assert sorted(filled.values())[-1] == 20 << 20 and sorted(filled.values())[-2] <= 16 << 20
+    assert len(filled) <= 1.06 * sum(sizes) / (16 << 20)
 
 
 def test_a_group_above_the_mean_leaves_the_rest_even():

@@ -116,7 +116,8 @@ def packed_groups(groups: DataFrame, size: str, order: list[str], bins: int | No
     """Add the column ``shard`` to ``groups``, one row per indivisible group.
 
     Groups of one size class are alike for the packing, so it needs only the number and
-    the mean size of each class. That table has at most ``2 ** EXACT_BITS`` classes per
+    one size of each class: the mean to fill ``bins`` evenly, the largest where no shard may
+    exceed a ``capacity`` (but for a group that does so alone). That table has at most ``2 ** EXACT_BITS`` classes per
     power of two, whatever the number of groups, and is packed on the driver; the groups
     learn their shard from their rank in the class, in parallel. Give ``capacity`` to use
     as few shards of that size as best fit finds, or ``bins`` for the least capacity at
@@ -124,7 +125,8 @@ def packed_groups(groups: DataFrame, size: str, order: list[str], bins: int | No
     """
     ranked = gapless(groups.withColumn("_class", -size_class(F.col(size))), "_class", order, "_rank")
     ranked = stored(ranked, "packing")
-    classes = ranked.groupBy("_class").agg(F.count("*").alias("n"), F.sum(size).alias("s")).orderBy("_class").collect()
+    total = F.sum(size) if capacity is None else F.max(size) * F.count("*")
+    classes = ranked.groupBy("_class").agg(F.count("*").alias("n"), total.alias("s")).orderBy("_class").collect()
     counts = [r["n"] for r in classes]
     sizes = [-(-r["s"] // r["n"]) for r in classes]
     if capacity is None:
