@@ -4,7 +4,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from triploom import ForestModel, fit_isolation_forest, outliers
-from triploom.operators.iforest import average_path
+from triploom.operators.iforest import average_path, forest_samples, grow_trees
 
 PLANTED = [(2001, 60.0, -60.0), (2002, -75.0, 55.0), (2003, 90.0, 90.0)]
 
@@ -68,6 +68,28 @@ def test_one_feature_agrees_with_the_walk(points):
         assert steps[row["id"]] == pytest.approx(_walk(packed, np.array([[row["a"]]]))[0])
 
 
+def test_one_feature_scores_without_python(points):
+    df = featured(points, "a")
+    model = fit_isolation_forest(df, "id", num_trees=10, max_samples=32)
+    plan = model.transform(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_growing_shuffles_by_tree_alone(points):
+    samples = forest_samples(featured(points, "a", "b"), "id", num_trees=10, max_samples=32)
+    grown = grow_trees(samples, width=2, max_depth=5, seed=1)
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2  # the samples by tree, the nodes by number
+    assert "Python" not in plan and "Join" not in plan
+
+
+def test_odd_values_score_like_the_last_interval(spark, points):
+    model = fit_isolation_forest(featured(points, "a"), "id", num_trees=10, max_samples=32)
+    odd = spark.createDataFrame([(1, [float("nan")]), (2, [None]), (3, [float("inf")]), (4, [1e300]), (5, [float("-inf")]), (6, [-1e300])], "id long, x array<double>")
+    scores = {r["id"]: r["outlierScore"] for r in model.score_values(odd, "x").collect()}
+    assert scores[1] == scores[2] == scores[3] == scores[4] and scores[5] == scores[6]
+
+
 def test_save_and_load(spark, points, tmp_path):
     df = featured(points, "a", "b")
     model = fit_isolation_forest(df, "id", num_trees=10, max_samples=32)
