@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from triploom import longest_chains, read_edges, read_vertices
+from triploom import chain_paths, longest_chains, read_edges, read_vertices
 from triploom.operators import contraction, graph_blocks
 from triploom.operators.graph_blocks import settled
 
@@ -161,3 +161,16 @@ def test_edge_attribute_is_read(spark, tmp_path):
     assert chains_of(longest_chains(vertices, edges, edge_weight="nb")) == {0: (1.5, 0), 1: (7.5, 0)}
     with pytest.raises(ValueError, match="third column"):
         read_edges(spark, str(tmp_path / "v.csv"), "nb")
+
+
+@pytest.mark.parametrize("block_rows", [0, 1_000])
+def test_paths_by_either_way(spark, block_rows):
+    """One task walks back along few links, more are squared."""
+    rows = [(i, float(i % 50), i if i % 50 == 0 else i - 1) for i in range(150)]
+    result = spark.createDataFrame(rows, "tripID long, longestDistance double, previousTripID long")
+    paths = chain_paths(result, k=2, block_rows=block_rows).orderBy("chain", "position").collect()
+    assert [tuple(r) for r in paths] == [(c, p, 50 * (c - 1) + p - 1) for c in (1, 2) for p in range(1, 51)]
+    assert chain_paths(result.limit(0), block_rows=block_rows).collect() == []
+    ring = spark.createDataFrame([(i, 1.0, (i + 1) % 5) for i in range(5)], result.schema)
+    with pytest.raises(RuntimeError, match="cycle"):
+        chain_paths(ring, block_rows=block_rows).collect()

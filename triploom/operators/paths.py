@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,13 +10,17 @@ from triploom.operators.ranking import top_k
 from triploom.operators.skew import HOT_ROWS, split_hot_keys
 from triploom.sources.checkpoints import cut_lineage
 
+BLOCK_ROWS = 500_000
 
-def chain_paths(result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def chain_paths(
+    result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """``(chain, position, tripID)`` of the ``k`` heaviest chains, each from its start.
 
     ``result`` is the output of a chain operator. Equal chains rank by trip id.
 
-    Predecessor links are squared: after n rounds a link spans 2ⁿ trips, so a chain of
+    Up to ``block_rows`` predecessor links, one task walks back along them. More are squared: after n rounds a link spans 2ⁿ trips, so a chain of
     L trips takes about log₂ L rounds. Only links that exist in full are kept, so the
     table of links shrinks with every round. A link that spans more trips than there are
     links proves a cycle and raises.
@@ -34,6 +39,11 @@ def chain_paths(result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS) -> Data
     )
     links = cut_lineage(links)
     longest, span = links.count(), 1
+    if longest <= block_rows:
+        walked = cut_lineage(_walked(found, links))
+        if not walked.filter("trip is null").isEmpty():
+            raise RuntimeError("the predecessors have a cycle")
+        return _positions(walked)
     while span <= 2 * longest:
         reached = cut_lineage(
             found.join(links, "trip").select(
@@ -50,6 +60,28 @@ def chain_paths(result: DataFrame, k: int = 1, hot_rows: int = HOT_ROWS) -> Data
     return _positions(found)
 
 
+def _walked(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` and all that lies before its trips; a trip of NULL says that a chain never ends."""
+
+    def walk(ends: pd.DataFrame, steps: pd.DataFrame) -> pd.DataFrame:
+        before = dict(zip(steps["trip"], steps["ancestor"], strict=True))
+        rows = []
+        for chain, trip in zip(ends["chain"], ends["trip"], strict=True):
+            back = 0
+            while trip is not None:
+                rows.append((chain, trip, back))
+                trip, back = before.get(trip), back + 1
+                if back > len(before) + 1:
+                    rows.append((chain, None, back))
+                    break
+        return pd.DataFrame(rows, columns=["chain", "trip", "back"]).astype({"trip": object})
+
+    kind = found.schema["trip"].dataType.simpleString()
+    one = F.lit(0).alias("all")
+    groups = found.groupBy(one).cogroup(links.groupBy(one))
+    return groups.applyInPandas(walk, f"chain int, trip {kind}, back int")
+
+
 def _positions(found: DataFrame) -> DataFrame:
     lengths = found.groupBy("chain").agg(F.max("back").alias("longest"))
     return found.join(F.broadcast(lengths), "chain").select(
