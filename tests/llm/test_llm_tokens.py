@@ -16,8 +16,10 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from triploom.llm import align, byte_bpe, coded_blocks, fill_in_middle, pretokens
+from triploom.llm.queries import QUERIES
 from triploom.llm.storage import reach_workers
 
+SF_DIR = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -46,6 +48,10 @@ def no_docs(spark):
     return spark.createDataFrame([], CLASHES)
 
 
+def given_docs(spark):
+    return [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+
+
 def same_rows(rows, expected):
     assert sorted(map(tuple, rows), key=repr) == sorted(expected, key=repr)
 
@@ -109,6 +115,17 @@ def test_ids_equal_the_library_and_decode_back(spark, sizes):
     same_rows([(r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in rows.collect()], expected)
 
 
+def test_bpe_query_on_the_given_table(spark):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks_of(RANKS), special_tokens={})
+    expected = []
+    for i, t in given_docs(spark):
+        ids = library.encode_ordinary(t or "")
+        packed = np.array(ids, "<u4").tobytes()
+        expected.append((i, len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    rows = QUERIES["op11_byte_bpe"](spark, SF_DIR).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    same_rows(rows.collect(), expected)
+
+
 def test_bpe_of_nothing(spark):
     assert byte_bpe.decoded(byte_bpe.encoded(no_docs(spark), RANKS), RANKS).collect() == []
     ids = spark.createDataFrame([(1, None), (2, b"")], "doc_id long, ids binary")
@@ -252,6 +269,12 @@ def test_alignment_equals_plain_loops(spark, sizes):
     same_rows(found, expected)
 
 
+def test_alignment_query_on_the_given_table(spark):
+    rows = QUERIES["op13_token_alignment"](spark, SF_DIR)
+    found = rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()
+    same_rows(found, plain_alignment(given_docs(spark)))
+
+
 def test_alignment_of_long_texts_and_of_nothing(spark):
     assert align.aligned(no_docs(spark), BYTE_BPE, PIECE_BPE).collect() == []
     reach_workers(spark)

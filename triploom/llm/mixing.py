@@ -1,9 +1,10 @@
 """Mixing by soft membership of documents in domains.
 
 A classifier fitted to a labelled table gives each document a posterior over the domains.
-The expected tokens of a domain are then a linear function of the documents' rates, and
-gradient steps projected on the nonnegative rates find those whose totals match the targets
-in the least-squares sense.
+The expected tokens of a domain are then a linear function of the documents' rates. Those
+whose totals match the targets in the least-squares sense are found by Newton steps in the
+domains, projected on the nonnegative rates; plain projected gradient steps in the rates
+need hundreds of passes where a domain is scarce, and thousands where a target is out of reach.
 """
 
 from __future__ import annotations
