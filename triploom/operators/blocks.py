@@ -30,12 +30,15 @@ def cut_into_blocks(legs: DataFrame, block_rows: int) -> tuple[DataFrame, int, i
     """Add ``slab`` and ``salt``; also returns the slabs' first start and their length.
 
     Slabs are equally long, in microseconds, and sized so that a usual one is half full.
-    Those with more than ``block_rows`` legs are split by hashed leg.
+    Those with more than ``block_rows`` legs are split by hashed leg. Up to ``block_rows``
+    legs are one slab.
     """
     bulk = F.percentile_approx("time", F.array(F.lit(0.01), F.lit(0.99)), 1000)
-    rows, bounds = legs.agg(F.count("time"), bulk).first()
+    rows, bounds, least, most = legs.agg(F.count("time"), bulk, F.min("time"), F.max("time")).first()
     low, high = bounds or (0, 0)
-    share = block_rows / (2.0 * max(rows, 1))
+    if 0 < rows <= block_rows:
+        low, high = least, most
+    share = block_rows / (2.0 * max(rows, 1)) if rows > block_rows else 1.0
     length = max(int((high - low + MICROS) * min(share, 1.0)), MICROS)
     first = int(low)
     legs = legs.withColumn("slab", slab_of("time", first, length))
