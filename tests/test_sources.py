@@ -5,6 +5,7 @@ import pytest
 from triploom import read_edges, read_locations, read_trips, read_vertices, write_csv
 from triploom.schema import LOCATIONS_SCHEMA, TRIPS_SCHEMA
 from triploom.sources import cut_lineage, read_stage, write_stage
+from triploom.sources.checkpoints import shared_base
 
 HEADER = ",".join(TRIPS_SCHEMA.names)
 LINES = [
@@ -107,3 +108,20 @@ def test_checkpoints_cut_the_lineage(spark):
     assert "Filter" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.count() == 7
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+class FakeSession:
+    """As much of a session as the choice of the shared folder looks at."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, *other: settings.get(key.split(".")[1] if "checkpoint" in key else "warehouse", *other))})
+
+
+def test_a_local_disk_is_no_shared_folder():
+    assert shared_base(FakeSession("yarn", checkpoint="store://c/", warehouse="file:/w")) == "store://c"
+    assert shared_base(FakeSession("local[4]", warehouse="file:/w/")) == "file:/w/checkpoints"
+    assert shared_base(FakeSession("yarn", warehouse="store://w")) == "store://w/checkpoints"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_base(FakeSession("spark://host:7077", warehouse=warehouse))

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructField, StructType
 
 from triploom.schema import LOCATIONS_SCHEMA, TRIPS_SCHEMA
+from triploom.sources.stages import read_stage
 
 
 def _read(
     spark: SparkSession, path: str, schema: StructType, fmt: str, infer: bool
 ) -> DataFrame:
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return read_stage(spark, path)
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}; use 'csv' or 'parquet'")
     reader = spark.read.option("header", True).option("sep", ",")
