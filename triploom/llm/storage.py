@@ -10,6 +10,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triploom.sources.checkpoints import shared_base
+
 BROADCAST_BYTES = 16 << 20
 BATCH_ROWS = 2_000
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -31,10 +33,7 @@ def reach_workers(spark: SparkSession) -> None:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run: below spark.checkpoint.dir, or below the warehouse if unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    return f"{shared_base(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
