@@ -234,7 +234,7 @@ class ForestModel:
                 found = lookup.transform(found)
             else:
                 found = found.withColumn("_at", F.lit(0.0))
-            # NaN and NULL have a bucket of their own, which scores like the last one
+            # NaN has a bucket of its own, which scores like the last one; NULL has no score
             table = F.split(F.lit(",".join(map(repr, [*scores.tolist(), float(scores[-1])]))), ",")
             score = F.get(table.cast("array<double>"), F.col("_at").cast("int"))
             return found.withColumn(self.score_col, score).drop("_first", "_at")
