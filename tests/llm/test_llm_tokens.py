@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -275,6 +276,30 @@ def test_alignment_query_on_the_given_table(spark):
     same_rows(found, plain_alignment(given_docs(spark)))
 
 
+def test_alignment_of_many_texts_takes_little_memory_at_once():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(1, 9))) for _ in range(20_000)]
+    texts = pa.array([" " + " ".join(rng.choices(words, k=5_000)) for _ in range(160)])
+    a, b = align.byte_level(BYTE_BPE), align.piecewise(PIECE_BPE)
+    pretokens.classes()
+    most = 0
+    for chunk in pretokens.chunked(texts, align.CHUNK_BYTES):
+        tracemalloc.start()
+        assert sum(1 for _ in align._parts(a, b, chunk)) == len(chunk.rows)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert most < 250 << 20
+
+
+def test_alignment_of_a_text_in_many_parts_keeps_few_lists_of_pairs():
+    begun, parts = align._Texts(), 5 * align.MERGED_PARTS
+    for i in range(parts):
+        begun.add(np.ones(4, np.int64), memoryview(b"x"), (np.array([1, 2 + i % 2]), np.array([3, 1])), False)
+        assert len(begun.pairs) <= align.MERGED_PARTS
+    _, pairs, times = begun.row()
+    assert dict(zip(pairs.tolist(), times.tolist(), strict=True)) == {1: 3 * parts, 2: parts // 2, 3: parts // 2}
+
+
 def test_alignment_of_long_texts_and_of_nothing(spark):
     assert align.aligned(no_docs(spark), BYTE_BPE, PIECE_BPE).collect() == []
     reach_workers(spark)

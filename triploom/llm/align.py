@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from triploom.llm.coded_blocks import Numbering, packed, put_back, unpacked
-from triploom.llm.pretokens import CHUNK_BYTES, Chunk, chunked, gathered, pieces, spans
+from triploom.llm.pretokens import Chunk, chunked, gathered, pieces, spans
 from triploom.llm.storage import stored
 
 BLOCK_BYTES = 16 << 20
+#: Tokens, groups and links of a chunk take some 250 times its bytes.
+CHUNK_BYTES = 1 << 20
+MERGED_PARTS = 8
 DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 BLOCKS = f"block long, part int, rows array<struct<{re.sub(r'(\w+) (\w+)', r'\1:\2', DOC)}>>, counts array<int>, codes binary, times binary, pairs array<long>, docs array<int>"
 DOC_FIELDS = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string())]
@@ -188,16 +191,18 @@ class _Texts:
         self.n += n
         self.digest.update(text)
         self.pairs.append(pairs)
+        if len(self.pairs) > MERGED_PARTS:
+            self.pairs = [self._merged()]
         self.bad |= bad
 
+    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
+        pairs, place = np.unique(np.concatenate([p for p, _ in self.pairs]), return_inverse=True)
+        return pairs, np.bincount(place, weights=np.concatenate([t for _, t in self.pairs])).astype(np.int64)
+
     def row(self) -> tuple[list, np.ndarray, np.ndarray]:
         if self.bad or not self.n.any():
             return [0, 0, 0, 0, ""], np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(self.pairs) == 1:
-            pairs, times = self.pairs[0]
-        else:
-            pairs, place = np.unique(np.concatenate([p for p, _ in self.pairs]), return_inverse=True)
-            times = np.bincount(place, weights=np.concatenate([t for _, t in self.pairs])).astype(np.int64)
+        pairs, times = self.pairs[0] if len(self.pairs) == 1 else self._merged()
         return [*self.n.tolist(), self.digest.hexdigest()], pairs, times
 
 
