@@ -219,6 +219,18 @@ def test_counts_against_brute_force(spark):
     assert as_dict(frontier) == expected
 
 
+def test_rounds_do_not_grow_with_the_slabs(spark):
+    """A chain of 400 trips crosses some 40 slabs, but no more zones than tasks are for."""
+    def at(s: int):
+        return EPOCH + timedelta(seconds=s)
+
+    rows = [(i, at(10 * i), at(10 * i + 5), i % 7, (i + 1) % 7, 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, TIMED)
+    rounds = 2 * spark.sparkContext.defaultParallelism + 4
+    got = as_dict(trip_chains(df, 30, block_rows=20, max_rounds=rounds))
+    assert got == {i: (i + 1.0, max(i - 1, 0)) for i in range(400)}
+
+
 def test_hot_sources_are_salted(spark):
     """One vertex holds a third of the edges; the result must not change."""
     edges = [(0, v) for v in range(1, 60)] + [(v, v + 100) for v in range(1, 60)]
