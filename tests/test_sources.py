@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -21,6 +22,12 @@ def trips_file(tmp_path):
     return str(path)
 
 
+def test_trips_csv_parses_each_text_once(spark, trips_file):
+    plan = read_trips(spark, trips_file)._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("total_amount", "trip_distance", "tpep_pickup_datetime"):
+        assert len(re.findall(rf"cast\({name}#", plan)) == 1, plan
+
+
 def test_trips_csv_with_mark_and_windows_line_ends(spark, trips_file):
     df = read_trips(spark, trips_file)
     assert df.schema == TRIPS_SCHEMA

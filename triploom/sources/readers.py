@@ -35,8 +35,8 @@ def _typed(source: str, field: StructField) -> Column:
         whole = text.try_cast("double")
         value = F.coalesce(value, F.when(whole == F.floor(whole), whole.try_cast(field.dataType)))
     message = F.concat(F.lit(f"{field.name} is not a {field.dataType.simpleString()}: "), text)
-    malformed = text.isNotNull() & value.isNull()
-    return F.when(malformed, F.raise_error(message)).otherwise(value).alias(field.name)
+    # each text is parsed once: only one that gives no value is looked at again
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(field.dataType))).alias(field.name)
 
 
 def read_trips(
